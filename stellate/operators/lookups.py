@@ -18,15 +18,29 @@ def _broadcast_limit(df: DataFrame, max_bytes: int | None) -> int:
     return int(conf) if conf else DEFAULT_BROADCAST_BYTES
 
 
+_FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
+    T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
+    T.NullType: 1,
+}
+
+
 def measured_bytes(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of ``df`` measured by one aggregate job: fixed-width
-    columns by their type size, strings and binaries by their real length."""
+    columns by their type size, strings and binaries by their real length,
+    nested columns by the length of their JSON form."""
     var, fixed = [], 0
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            var.append(F.coalesce(F.sum(F.octet_length(F.col(f"`{f.name}`"))), F.lit(0)))
+        c = F.col(f"`{f.name}`")
+        dt = f.dataType
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            var.append(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)))
+        elif isinstance(dt, (T.StructType, T.ArrayType, T.MapType)):
+            var.append(F.coalesce(F.sum(F.octet_length(F.to_json(c))), F.lit(0)))
+        elif isinstance(dt, T.DecimalType):
+            fixed += 8 if dt.precision <= 18 else 16
         else:
-            fixed += f.dataType.defaultSize()
+            fixed += _FIXED_WIDTH.get(type(dt), 16)
     row = df.agg(F.count(F.lit(1)), *var).first()
     rows = int(row[0])
     return rows, rows * (fixed + 16) + sum(int(v) for v in row[1:])
