@@ -1,31 +1,44 @@
 """Dense surrogate keys 1..N (SERIAL) without funnelling rows through one task.
 
-Plan:
-1. optional range partitioning on the order columns (plus a row hash as a
-   tie-break so a hot business key is split over several partitions), then
-   a sort inside each partition;
-2. tag every row with its partition id and its index inside the partition
+The scheme is the one ``RDD.zipWithIndex`` uses, on DataFrames:
+
+1. tag every row with its partition id and its index inside the partition
    (the low 33 bits of ``monotonically_increasing_id``);
-3. write the tagged rows to the shared scratch folder: range sampling and
-   shuffle fetch order are not repeatable, so the tags must be fixed before
-   they are counted, and the written table survives executor loss;
-4. count rows per partition (one row per partition), turn the counts into
-   running offsets with a window over that tiny table and broadcast-join the
-   offsets back: key = start + offset + index + 1.
-
-The broadcast side has one row per partition, a bound fixed by the plan,
-not by the data. Without ``order_by`` no shuffle happens at all and keys
-follow the input order (the reference promises no order).
+2. count rows per partition; the counts (one number per partition, a size
+   fixed by the plan, not by the data) give each partition its offset;
+3. broadcast-join the offsets back: key = start + offset + index + 1.
+
+Tags must be repeatable between the counting job and the final write:
+
+* ``order_by=None`` and a plan without shuffles (scans, filters, projections,
+  broadcast joins): partitions and row order are fixed by the file splits,
+  so the plan is simply recomputed, nothing is materialised, and no shuffle
+  happens. Keys follow the input order, which the reference does not promise
+  anyway; this is the path for large fact tables.
+* otherwise (a shuffle upstream, or ``order_by`` given, which range-partitions
+  on the order columns plus a row hash so a hot business key is split over
+  several partitions): the tagged rows are written to the shared scratch
+  folder first. Shuffle fetch order and range sampling are not repeatable,
+  and the written table also survives executor loss.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.session import new_scratch_dir
 
 _INDEX_MASK = (1 << 33) - 1
+_SHUFFLE = re.compile(r"(?<!Broadcast)Exchange ")
+
+
+def is_shuffle_free(df: DataFrame) -> bool:
+    """True when the physical plan moves no rows between partitions."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return _SHUFFLE.search(plan) is None
 
 
 def assign_dense_keys(df: DataFrame, key_col: str, *, order_by: list[str] | tuple[str, ...] | None = None,
@@ -36,25 +49,28 @@ def assign_dense_keys(df: DataFrame, key_col: str, *, order_by: list[str] | tupl
     cols = df.columns
     staged = df
     if order_by:
-        tie = F.xxhash64(*[F.col(c) for c in cols]).alias("_k_tie")
-        order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col("_k_tie")]
-        staged = (df.select(*cols, tie)
+        tie = F.xxhash64(*[F.col(f"`{c}`") for c in cols]).alias("_k_tie")
+        order = [F.col(f"`{c}`").asc_nulls_first() for c in order_by] + [F.col("_k_tie")]
+        staged = (df.select(*[F.col(f"`{c}`") for c in cols], tie)
                   .repartitionByRange(*order)
                   .sortWithinPartitions(*order))
     tagged = staged.select(
-        *cols,
+        *[F.col(f"`{c}`") for c in cols],
         F.spark_partition_id().alias("_k_part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)).alias("_k_idx"),
     )
-    path = new_scratch_dir(spark, "dense-keys")
-    tagged.write.parquet(path)
-    fixed = spark.read.parquet(path)
-
-    counts = fixed.groupBy("_k_part").agg(F.count(F.lit(1)).alias("_k_n"))
-    before = Window.orderBy("_k_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_k_part", F.coalesce(F.sum("_k_n").over(before), F.lit(0)).alias("_k_off"))
-    total = counts.agg(F.sum("_k_n")).first()[0] or 0
-
-    keyed = fixed.join(F.broadcast(offsets), "_k_part").select(
-        *cols, (F.lit(start) + F.col("_k_off") + F.col("_k_idx") + 1).cast("bigint").alias(key_col))
-    return keyed, start + int(total)
+    if order_by or not is_shuffle_free(df):
+        path = new_scratch_dir(spark, "dense-keys")
+        tagged.write.parquet(path)
+        tagged = spark.read.schema(tagged.schema).parquet(path)
+
+    counts = sorted((r[0], r[1]) for r in tagged.groupBy("_k_part").agg(F.count(F.lit(1))).collect())
+    offsets, running = [], 0
+    for part, n in counts:
+        offsets.append((part, running))
+        running += n
+    off_df = spark.createDataFrame(offsets, "_k_part int, _k_off bigint")
+    keyed = tagged.join(F.broadcast(off_df), "_k_part").select(
+        *[F.col(f"`{c}`") for c in cols],
+        (F.lit(start) + F.col("_k_off") + F.col("_k_idx") + 1).cast("bigint").alias(key_col))
+    return keyed, start + running

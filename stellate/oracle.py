@@ -114,7 +114,7 @@ UNION ALL SELECT 'country', COUNT(*) FROM ({COUNTRY}) x""",
     "fact_lookup": f"""WITH {DIMS_FOR_LOOKUP},
   st AS ({SALES})
 SELECT st.*, cu.customer_key, pr.product_key, co.country_key,
-  row_number() OVER (ORDER BY st.transaction_id) AS sales_trans_key
+  CAST(1 AS BIGINT) AS first_key, TRUE AS keys_dense
 FROM st {LOOKUP_JOINS.format(s='st')}""",
 
     "key_continuation": f"""WITH p AS ({PRODUCT}),
@@ -153,7 +153,7 @@ UNION ALL SELECT 'o_orderstatus', COUNT(*) FILTER (WHERE o_orderstatus IS NULL)
         FROM ({PRODUCT}) x),
   st AS ({SALES})
 SELECT st.*, cu.customer_key, pr.product_key, co.country_key,
-  COUNT(*) OVER () + row_number() OVER (ORDER BY st.transaction_id) AS sales_trans_key
+  COUNT(*) OVER () + 1 AS first_key, TRUE AS keys_dense
 FROM st {LOOKUP_JOINS.format(s='st')}""",
 
     "truncate_table": """SELECT 'dwh.countries_dim' AS table_name, COUNT(*) AS row_count
@@ -178,17 +178,16 @@ FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.product_id = s.product_id)""",
   sa AS (SELECT * FROM st WHERE transaction_date < '1998-01-01'),
   sb AS (SELECT transaction_id, transaction_date, customer_id, product_id, quantity, unit_price, total_amount,
            lower(payment_mode) AS payment_mode FROM st WHERE transaction_date >= '1997-01-01'),
-  ka AS (SELECT sa.*, cu.customer_key, pr.product_key, co.country_key,
-           row_number() OVER (ORDER BY sa.transaction_id) AS sales_trans_key
+  ka AS (SELECT sa.*, cu.customer_key, pr.product_key, co.country_key
          FROM sa {LOOKUP_JOINS.format(s='sa')}),
   kb AS (SELECT sb.*, cu.customer_key, pr.product_key, co.country_key
          FROM sb {LOOKUP_JOINS.format(s='sb')})
 SELECT t.transaction_id,
   {_case_cols(FACT_COLS)},
-  t.sales_trans_key
+  CAST(1 AS BIGINT) AS first_key, TRUE AS keys_dense
 FROM ka t LEFT JOIN kb s ON t.transaction_id = s.transaction_id
 UNION ALL
-SELECT kb.*, (SELECT COUNT(*) FROM sa) + row_number() OVER (ORDER BY kb.transaction_id) AS sales_trans_key
+SELECT kb.*, CAST(1 AS BIGINT) AS first_key, TRUE AS keys_dense
 FROM kb WHERE NOT EXISTS (SELECT 1 FROM sa WHERE sa.transaction_id = kb.transaction_id)""",
 
     "merge_null_keys": f"""WITH c AS ({CUSTOMER})

@@ -16,7 +16,8 @@ PRODUCT = TableSpec("products_dim", ("product_id",),
                     ("product_id", "product_name", "category", "standard_price"), "product_key")
 SALES = TableSpec("sales_transactions_fact", ("transaction_id",),
                   ("transaction_id", "transaction_date", "customer_id", "product_id",
-                   "quantity", "unit_price", "total_amount", "payment_mode"), "sales_trans_key")
+                   "quantity", "unit_price", "total_amount", "payment_mode"), "sales_trans_key",
+                  ordered_keys=False)
 
 DIMENSIONS = (COUNTRY, CUSTOMER, PRODUCT)
 FACT_KEYS = ("customer_key", "product_key", "country_key")

@@ -141,7 +141,19 @@ def load_report(spark, sf_dir):
 
 # ---------------------------------------------------------------- keys, star
 def _keyed(df, spec):
-    return assign_dense_keys(df, spec.key_column, order_by=spec.business_key)[0]
+    return assign_dense_keys(df, spec.key_column, order_by=spec.key_order)[0]
+
+
+def _key_check(df, key):
+    """Fact keys follow input order (no promised order), so the key column is
+    replaced by what is promised: the first key and that keys are dense and
+    unique over the table."""
+    n = F.count(F.lit(1))
+    stats = df.agg(F.struct(F.min(key).alias("first"),
+                            ((F.max(key) - F.min(key) + 1 == n) & (F.count_distinct(key) == n)).alias("dense"))
+                   ).scalar()   # one subquery, reused for both columns
+    return df.drop(key).select("*", stats.getField("first").alias("first_key"),
+                               stats.getField("dense").alias("keys_dense"))
 
 
 def _lookup_dims(t):
@@ -159,7 +171,9 @@ def fact_lookup(spark, sf_dir):
     t = si.tables(spark, sf_dir)
     customers, products, countries = _lookup_dims(t)
     fact = fact_with_keys(si.sales(t), customers, products, countries)
-    return _keyed(fact, SALES)
+    store = _store(spark, "lookup")
+    written = store.read_version(store.write_version(SALES.qualified, _keyed(fact, SALES)))
+    return _key_check(written, SALES.key_column)
 
 
 def key_continuation(spark, sf_dir):
@@ -224,7 +238,7 @@ def full_load_fact(spark, sf_dir):
     build_star(store, verify=False)
     for spec in (COUNTRY, CUSTOMER, PRODUCT, SALES):
         full_load(store, spec)
-    return store.read(SALES.qualified).drop(*LINEAGE)
+    return _key_check(store.read(SALES.qualified).drop(*LINEAGE), SALES.key_column)
 
 
 def truncate_table(spark, sf_dir):
@@ -258,7 +272,7 @@ def merge_fact(spark, sf_dir):
     later = s.filter(F.col("transaction_date") >= SALES_B_FROM).withColumn("payment_mode", F.lower("payment_mode"))
     stage(store, "sales_transactions", later)
     merge_load(store, SALES)
-    return store.read(SALES.qualified).drop(*LINEAGE)
+    return _key_check(store.read(SALES.qualified).drop(*LINEAGE), SALES.key_column)
 
 
 def merge_null_keys(spark, sf_dir):

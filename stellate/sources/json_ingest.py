@@ -104,10 +104,10 @@ def load_games_incrementally(store: TableStore, listing: DataFrame, bodies: Data
     if store.exists(ledger_table):
         candidates = candidates.join(store.read(ledger_table).select("url"), "url", "left_anti")
     fresh_path = store.write_version(ledger_table, candidates.select("url", F.lit(load_id).alias("_load_id")))
-    fresh = store.spark.read.parquet(fresh_path.path)
+    fresh = store.read_version(fresh_path)
     games = checked_games(bodies, fresh).withColumn("_load_id", F.lit(load_id))
     games_ch = store.write_version(games_table, games)
-    rows = store.spark.read.parquet(games_ch.path).count()
+    rows = store.read_version(games_ch).count()
     store.commit({
         games_table: Change("append", games_ch.path, games_ch.schema),
         ledger_table: Change("append", fresh_path.path, fresh_path.schema),
@@ -129,4 +129,4 @@ def load_resource(store: TableStore, table: str, df: DataFrame, disposition: str
     out = add_lineage(normalize_names(df), load_id)
     ch = store.write_version(table, out)
     store.commit({table: Change(disposition, ch.path, ch.schema)})
-    return LoadInfo(table, load_id, store.spark.read.parquet(ch.path).count(), disposition)
+    return LoadInfo(table, load_id, store.read_version(ch).count(), disposition)

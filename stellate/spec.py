@@ -15,6 +15,8 @@ class TableSpec:
     columns       source columns copied into the table, in target order
     key_column    surrogate key column assigned by the warehouse (or None)
     namespace     ``dwh`` for the star, ``staging`` for raw tables
+    key_order     columns that order new surrogate keys; ``None`` numbers
+                  rows in input order without a shuffle (large facts)
     """
 
     name: str
@@ -23,6 +25,11 @@ class TableSpec:
     key_column: str | None = None
     namespace: str = "dwh"
     lineage: tuple[str, ...] = field(default=("_load_id", "_row_id"))
+    ordered_keys: bool = True
+
+    @property
+    def key_order(self) -> tuple[str, ...] | None:
+        return self.business_key if self.ordered_keys else None
 
     @property
     def qualified(self) -> str:
