@@ -36,9 +36,13 @@ _SHUFFLE = re.compile(r"(?<!Broadcast)Exchange ")
 
 
 def is_shuffle_free(df: DataFrame) -> bool:
-    """True when the physical plan moves no rows between partitions."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return _SHUFFLE.search(plan) is None
+    """True when recomputing ``df`` yields the same rows in the same
+    partitions and order: no shuffle in the physical plan and no
+    nondeterministic expression (rand, uuid, ...) in the logical plan."""
+    qe = df._jdf.queryExecution()
+    if not qe.optimizedPlan().deterministic():
+        return False
+    return _SHUFFLE.search(qe.executedPlan().toString()) is None
 
 
 def assign_dense_keys(df: DataFrame, key_col: str, *, order_by: list[str] | tuple[str, ...] | None = None,
