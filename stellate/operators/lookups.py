@@ -69,16 +69,31 @@ def measured_bytes(df: DataFrame) -> tuple[int, int]:
     return out
 
 
+# Catalyst's size estimate comes from (compressed) file sizes; a table whose
+# estimate exceeds the limit this many times over is not measured at all.
+_ESTIMATE_MARGIN = 8
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimised plan (no job)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def is_bounded(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when a measurement proves ``df`` is under the limit. Tables whose
+    estimate is far above it are rejected without scanning them."""
+    limit = _broadcast_limit(df, max_bytes)
+    if estimated_bytes(df) > _ESTIMATE_MARGIN * limit:
+        return False
+    return measured_bytes(df)[1] <= limit
+
+
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when a measurement proves it is under the limit;
     otherwise return it unchanged so the join shuffles (with AQE skew
     splitting) instead of shipping an unbounded table to every executor."""
-    _, size = measured_bytes(df)
-    return F.broadcast(df) if size <= _broadcast_limit(df, max_bytes) else df
-
-
-def is_bounded(df: DataFrame, max_bytes: int | None = None) -> bool:
-    return measured_bytes(df)[1] <= _broadcast_limit(df, max_bytes)
+    return F.broadcast(df) if is_bounded(df, max_bytes) else df
 
 
 @dataclass(frozen=True)

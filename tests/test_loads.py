@@ -128,3 +128,14 @@ def test_staging_lineage(spark, store):
     df = store.read("staging.customer")
     assert info.rows == 2 and df.select("_row_id").distinct().count() == 2
     assert df.select("_load_id").distinct().collect()[0][0] == info.load_id
+
+
+def test_sql_over_published_star(spark, store):
+    _stage_sample(spark, store)
+    build_star(store)
+    assert "customers_dim" in store.register_views(("dwh",))
+    got = spark.sql("""
+        SELECT c.customer_name AS `Customer Name`, SUM(CAST(s.total_amount AS DECIMAL(28,6))) AS `Total Sales`
+        FROM customers_dim c JOIN sales_transactions_fact s ON c.customer_id = s.customer_id
+        GROUP BY c.customer_name""").collect()
+    assert {r[0]: float(r[1]) for r in got} == {"Ann": 3.0, "Bob": 10.0, "Cy": 5.0}

@@ -45,3 +45,11 @@ def test_lookup_keys_generic(spark):
     dim = spark.createDataFrame([("a", 1)], "x string, xk long")
     out = lookup_keys(fact, [Lookup(dim, "x", "x", "xk")]).orderBy("x").collect()
     assert [(r.x, r.xk) for r in out] == [("a", 1), ("b", None)]
+
+
+def test_large_estimate_is_not_measured(spark):
+    from stellate.operators.lookups import estimated_bytes, is_bounded
+    big = spark.range(0, 10_000_000).select(F.col("id").alias("k"))
+    assert estimated_bytes(big) > 8 * 1024
+    # rejected from the estimate alone: no 10M-row scan happens
+    assert is_bounded(big, max_bytes=1024) is False
