@@ -61,6 +61,12 @@ def merge_cardinality_violations(source: DataFrame, target: DataFrame, key: list
     """Source keys that occur more than once AND match an existing target row.
     Duplicate source keys without a target match are legal (all inserted).
     The source is aggregated first, so only repeated keys meet the target."""
+    from stellate.operators.lookups import is_bounded
     key = [key] if isinstance(key, str) else list(key)
     repeated = (source.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    if is_bounded(repeated.select(*key)):
+        # usual case: few or no repeated keys. Stream the target's key
+        # columns past them (map-side) instead of shuffling the target.
+        hit = target.select(*key).join(F.broadcast(repeated.select(*key)), key, "left_semi")
+        return repeated.join(hit.dropDuplicates(key), key, "left_semi")
     return repeated.join(target.select(*key), key, "left_semi")
