@@ -67,3 +67,23 @@ def test_bad_amount_fails_with_sqlstate(spark):
     with pytest.raises(Exception) as e:
         R.sales_by_customer(cu, fact).collect()
     assert sqlstate_of(e.value) == "22018"
+
+
+def test_hot_customer_is_pre_aggregated_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+    n = 30000
+    fact = spark.range(n).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 997).cast("string")).alias("customer_id"),
+        F.lit("1.00").alias("total_amount"))
+    cu = spark.range(997).select(F.col("id").cast("string").alias("customer_id"),
+                                 F.concat(F.lit("c"), F.col("id")).alias("customer_name"),
+                                 F.lit("US").alias("country_code"))
+    cu = cu.unionByName(spark.createDataFrame([("hot", "Hot", "OM")], cu.schema))
+    df = R.sales_by_customer(cu, fact)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # partial aggregate per customer runs before the first shuffle of the fact
+    first_exchange = plan.rfind("Exchange hashpartitioning(customer_id")
+    assert first_exchange >= 0 and "partial_sum" in plan[first_exchange:]
+    got = {r[0]: r[1] for r in df.collect()}
+    assert got["Hot"] == Decimal(n // 3) and sum(got.values()) == Decimal(n)
