@@ -10,13 +10,21 @@ from pyspark.sql import types as T
 NUMERIC = T.DecimalType(28, 6)
 
 
-def strict_decimal(col: Column | str, dtype: T.DecimalType = NUMERIC, *, ansi: bool = True) -> Column:
+def _session_ansi() -> bool:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark is None or str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() == "true"
+
+
+def strict_decimal(col: Column | str, dtype: T.DecimalType = NUMERIC, *, ansi: bool | None = None) -> Column:
     """``text::numeric``: text that is not a number fails the query.
 
     With ANSI mode (Spark 4 default) the plain cast raises CAST_INVALID_INPUT
-    (SQLSTATE 22018). For sessions that run with ANSI off, pass
-    ``ansi=False``: a failed ``try_cast`` of non-NULL text then raises too.
+    (SQLSTATE 22018). When the session runs with ANSI off (detected, or
+    ``ansi=False``), a failed ``try_cast`` of non-NULL text raises instead.
     """
+    if ansi is None:
+        ansi = _session_ansi()
     c = F.col(col) if isinstance(col, str) else col
     if ansi:
         return c.cast(dtype)

@@ -87,3 +87,13 @@ def test_hot_customer_is_pre_aggregated_before_the_shuffle(spark):
     assert first_exchange >= 0 and "partial_sum" in plan[first_exchange:]
     got = {r[0]: r[1] for r in df.collect()}
     assert got["Hot"] == Decimal(n // 3) and sum(got.values()) == Decimal(n)
+
+
+def test_strict_cast_without_ansi(spark):
+    import pytest
+    from stellate.functions.casts import strict_decimal
+    df = spark.createDataFrame([("1.5",), (None,), ("abc",)], "x string")
+    with pytest.raises(Exception):
+        df.select(strict_decimal("x", ansi=False)).collect()
+    ok = spark.createDataFrame([("1.5",), (None,)], "x string").select(strict_decimal("x", ansi=False).alias("d"))
+    assert [r.d for r in ok.collect()] == [Decimal("1.500000"), None]
