@@ -57,7 +57,7 @@ def above_average_customers(customers: DataFrame, fact: DataFrame, **kw) -> Data
 def top_products(products: DataFrame, fact: DataFrame, k: int = 1, amount: str = "total_amount",
                  scale: int = 2) -> DataFrame:
     """Products (by name) with the highest total sales; NULL totals first as
-    in PostgreSQL's DESC, ties broken by name. ``k=1`` is the reference's
+    in the source database's DESC order, ties broken by name. ``k=1`` is the reference's
     report. Planned as a top-k (no global sort)."""
     per_id = _sum_per(fact, "product_id", amount, scale)
     totals = (products.select("product_id", "product_name").join(per_id, "product_id")

@@ -491,9 +491,9 @@ def snake_case_columns(spark, sf_dir):
 def schema_growth(spark, sf_dir):
     c = si.tables(spark, sf_dir)("customer")
     store = _store(spark, "growth")
-    store.append("chess.customers", c.drop("c_acctbal"))
-    store.append("chess.customers", c)
-    return store.read("chess.customers")
+    store.append("landing.customers", c.drop("c_acctbal"))
+    store.append("landing.customers", c)
+    return store.read("landing.customers")
 
 
 def tracked_users(spark, sf_dir):

@@ -28,10 +28,10 @@ from stellate.sources.store import Change, TableStore
 PROFILE_HINTS = {"last_online": "timestamp", "joined": "timestamp"}
 GAME_HINTS = {"end_time": "timestamp"}
 
-GAMES_TABLE = "chess.players_games"
-LEDGER_TABLE = "chess._archives_ledger"
-PROFILES_TABLE = "chess.players_profiles"
-STATUS_TABLE = "chess.players_online_status"
+GAMES_TABLE = "landing.players_games"
+LEDGER_TABLE = "landing._archives_ledger"
+PROFILES_TABLE = "landing.players_profiles"
+STATUS_TABLE = "landing.players_online_status"
 
 
 def read_landed(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:

@@ -107,6 +107,6 @@ def test_schema_growth(spark, store):
     old = spark.createDataFrame([(1,)], "a long")
     new = spark.createDataFrame([(2, "x")], "a long, b string")
     assert sorted(map(tuple, union_with_growth(old, new).collect())) == [(1, None), (2, "x")]
-    store.append("chess.t", old)
-    store.append("chess.t", new)
-    assert sorted(map(tuple, store.read("chess.t").collect())) == [(1, None), (2, "x")]
+    store.append("landing.t", old)
+    store.append("landing.t", new)
+    assert sorted(map(tuple, store.read("landing.t").collect())) == [(1, None), (2, "x")]

@@ -9,16 +9,16 @@ def test_new_files_only(spark, store):
     ckpt = new_scratch_dir(spark, "stream-ckpt")
     spark.createDataFrame([("a", "online"), ("b", "offline")], SCHEMA).coalesce(1).write.json(f"{landing}/batch1")
     src = f"{landing}/*"
-    assert ingest_new_files(spark, src, SCHEMA, store, "chess.status", ckpt) >= 1
-    assert store.read("chess.status").count() == 2
-    assert ingest_new_files(spark, src, SCHEMA, store, "chess.status", ckpt) == 0   # nothing new
+    assert ingest_new_files(spark, src, SCHEMA, store, "landing.status", ckpt) >= 1
+    assert store.read("landing.status").count() == 2
+    assert ingest_new_files(spark, src, SCHEMA, store, "landing.status", ckpt) == 0   # nothing new
     spark.createDataFrame([("c", "online")], SCHEMA).coalesce(1).write.json(f"{landing}/batch2")
-    ingest_new_files(spark, src, SCHEMA, store, "chess.status", ckpt)
-    assert store.read("chess.status").count() == 3
+    ingest_new_files(spark, src, SCHEMA, store, "landing.status", ckpt)
+    assert store.read("landing.status").count() == 3
 
 
 def test_replayed_batch_not_appended_twice(spark, store):
     df = spark.createDataFrame([("a", "x")], SCHEMA)
-    store.append("chess.s", df, load_id="stream-q-0")
-    store.append("chess.s", df, load_id="stream-q-0")
-    assert store.read("chess.s").count() == 1
+    store.append("landing.s", df, load_id="stream-q-0")
+    store.append("landing.s", df, load_id="stream-q-0")
+    assert store.read("landing.s").count() == 1
