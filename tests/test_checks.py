@@ -29,3 +29,11 @@ def test_merge_cardinality(spark):
     target = spark.createDataFrame([("A",), ("B",)], "k string")
     source = spark.createDataFrame([("A",), ("A",), ("C",), ("C",), ("B",)], "k string")
     assert [r.k for r in merge_cardinality_violations(source, target, ["k"]).collect()] == ["A"]
+
+
+def test_fk_violation_counts_single_pass(spark):
+    from stellate.operators.checks import fk_violation_counts
+    fact = spark.createDataFrame([(1, 10), (2, 99), (None, 10), (3, None)], "a long, b long")
+    da = spark.createDataFrame([(1,), (2,), (2,)], "k long")
+    db = spark.createDataFrame([(10,)], "k long")
+    assert fk_violation_counts(fact, [("a", da, "k"), ("b", db, "k")]) == {"a": 1, "b": 1}
