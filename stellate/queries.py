@@ -324,7 +324,7 @@ def star_row_counts(spark, sf_dir):
                      ("product", si.product(t)), ("sales_transactions", si.sales(t))):
         write_csv(df, f"{data_dir}/{name}.csv")
     store = _store(spark, "warehouse")
-    run_warehouse(spark, data_dir, store)
+    run_warehouse(spark, data_dir, store, multi_line=False)   # key/name/number columns: no newlines
     parts = [store.read(spec.qualified).agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(spec.name).alias("table_name"), "row_count")
              for spec in (COUNTRY, CUSTOMER, PRODUCT, SALES)]
