@@ -23,6 +23,25 @@ _DEFAULTS = {
 }
 
 
+def recommended_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20,
+                     broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings sized for the data: shuffles start with enough partitions
+    for ``target_partition_bytes`` each (AQE then coalesces small ones and
+    splits skewed ones), file splits of the same size, and the size limit
+    for measured broadcasts. At 100 TB on 1000 x 8 cores this gives about
+    400k initial shuffle partitions of 256 MB; at sf0.1 it stays at 2 x cores.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "stellate.broadcast.maxBytes": str(broadcast_bytes),
+    }
+
+
 def build_session(master: str | None = "local[*]", app: str = "stellate",
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the operators assume."""

@@ -40,3 +40,11 @@ def test_hot_business_key_is_split(spark):
 def test_empty_input(spark):
     keyed, high = assign_dense_keys(spark.range(0).select(F.col("id").alias("v")), "k", start=9)
     assert high == 9 and keyed.count() == 0
+
+
+def test_recommended_conf_scales():
+    from stellate.session import recommended_conf
+    small = recommended_conf(100 << 20, 8)
+    big = recommended_conf(100 << 40, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
