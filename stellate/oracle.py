@@ -156,8 +156,8 @@ SELECT st.*, cu.customer_key, pr.product_key, co.country_key,
   COUNT(*) OVER () + 1 AS first_key, TRUE AS keys_dense
 FROM st {LOOKUP_JOINS.format(s='st')}""",
 
-    "truncate_table": """SELECT 'dwh.countries_dim' AS table_name, COUNT(*) AS row_count
-FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE FALSE""",
+    "truncate_table": """SELECT 'dwh.customers_dim' AS table_name, COUNT(*) AS row_count
+FROM customer WHERE FALSE""",
 
     "merge_dim": f"""WITH p AS ({PRODUCT}),
   t AS (SELECT {PRODUCT_COLS}, row_number() OVER (ORDER BY product_id) AS product_key FROM p WHERE p_size <= 35),

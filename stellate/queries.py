@@ -243,11 +243,11 @@ def full_load_fact(spark, sf_dir):
 
 def truncate_table(spark, sf_dir):
     store = _store(spark, "truncate")
-    stage(store, "country", si.country(si.tables(spark, sf_dir)))
-    full_load(store, COUNTRY)
-    truncate(store, COUNTRY)
-    return store.read(COUNTRY.qualified).agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(COUNTRY.qualified).alias("table_name"), "row_count")
+    stage(store, "customer", si.customer(si.tables(spark, sf_dir)))
+    full_load(store, CUSTOMER)
+    truncate(store, CUSTOMER)
+    return store.read(CUSTOMER.qualified).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(CUSTOMER.qualified).alias("table_name"), "row_count")
 
 
 def merge_dim(spark, sf_dir):
