@@ -45,6 +45,14 @@ def is_shuffle_free(df: DataFrame) -> bool:
     return _SHUFFLE.search(qe.executedPlan().toString()) is None
 
 
+def _single_partition(df: DataFrame) -> bool:
+    """True for a plan without any exchange whose input is one partition
+    (a small table stored in one file). Building its RDD runs nothing."""
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return False
+    return df.rdd.getNumPartitions() == 1
+
+
 def assign_dense_keys(df: DataFrame, key_col: str, *, order_by: list[str] | tuple[str, ...] | None = None,
                       start: int = 0) -> tuple[DataFrame, int]:
     """Return ``df`` plus ``key_col`` numbered ``start+1 .. start+N`` and the
@@ -52,18 +60,23 @@ def assign_dense_keys(df: DataFrame, key_col: str, *, order_by: list[str] | tupl
     spark = df.sparkSession
     cols = df.columns
     staged = df
+    repeatable = is_shuffle_free(df)
     if order_by:
         tie = F.xxhash64(*[F.col(f"`{c}`") for c in cols]).alias("_k_tie")
         order = [F.col(f"`{c}`").asc_nulls_first() for c in order_by] + [F.col("_k_tie")]
-        staged = (df.select(*[F.col(f"`{c}`") for c in cols], tie)
-                  .repartitionByRange(*order)
-                  .sortWithinPartitions(*order))
+        staged = df.select(*[F.col(f"`{c}`") for c in cols], tie)
+        if repeatable and _single_partition(df):
+            # already one partition (one small file): sorting it is enough
+            staged = staged.sortWithinPartitions(*order)
+        else:
+            staged = staged.repartitionByRange(*order).sortWithinPartitions(*order)
+            repeatable = False
     tagged = staged.select(
         *[F.col(f"`{c}`") for c in cols],
         F.spark_partition_id().alias("_k_part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)).alias("_k_idx"),
     )
-    if order_by or not is_shuffle_free(df):
+    if not repeatable:
         path = new_scratch_dir(spark, "dense-keys")
         tagged.write.parquet(path)
         tagged = spark.read.schema(tagged.schema).parquet(path)

@@ -48,3 +48,13 @@ def test_recommended_conf_scales():
     big = recommended_conf(100 << 40, 8000)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
+
+
+def test_single_partition_input_sorted_in_place(spark):
+    from stellate.operators.keys import _single_partition
+    df = spark.createDataFrame([(v, str(v)) for v in [5, 3, 9, 1, 7, 3]], "bk long, s string").coalesce(1)
+    assert _single_partition(df)
+    keyed, high = assign_dense_keys(df, "k", order_by=["bk"])
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Sort" in plan
+    assert [r.bk for r in keyed.orderBy("k").collect()] == [1, 3, 3, 5, 7, 9] and high == 6
