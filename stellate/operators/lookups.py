@@ -80,11 +80,23 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(size if isinstance(size, int) else size.toString())
 
 
+# Plan nodes whose size estimate is not an upper bound of anything useful:
+# joins multiply their children's sizes, aggregates keep the child's size,
+# RDD-backed relations report Long.MaxValue.
+_UNRELIABLE = ("Join", "Aggregate", "LogicalRDD", "Generate", "Window", "Expand")
+
+
+def _estimate_is_scan_size(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return not any(node in plan for node in _UNRELIABLE)
+
+
 def is_bounded(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """True when a measurement proves ``df`` is under the limit. Tables whose
-    estimate is far above it are rejected without scanning them."""
+    """True when a measurement proves ``df`` is under the limit. A plain scan
+    (with filters and projections) whose file-based estimate is far above
+    the limit is rejected without scanning it."""
     limit = _broadcast_limit(df, max_bytes)
-    if estimated_bytes(df) > _ESTIMATE_MARGIN * limit:
+    if _estimate_is_scan_size(df) and estimated_bytes(df) > _ESTIMATE_MARGIN * limit:
         return False
     return measured_bytes(df)[1] <= limit
 

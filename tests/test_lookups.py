@@ -53,3 +53,11 @@ def test_large_estimate_is_not_measured(spark):
     assert estimated_bytes(big) > 8 * 1024
     # rejected from the estimate alone: no 10M-row scan happens
     assert is_bounded(big, max_bytes=1024) is False
+
+
+def test_keyed_dimensions_are_broadcast(spark):
+    from stellate.operators.keys import assign_dense_keys
+    dim, _ = assign_dense_keys(spark.createDataFrame([("a",), ("b",)], "x string"), "xk", order_by=["x"])
+    fact = spark.range(100).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("x"))
+    plan = lookup_keys(fact, [Lookup(dim, "x", "x", "xk")])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
