@@ -241,6 +241,9 @@ FROM ({ARCHIVE_GAMES}) g WHERE month BETWEEN '1997/01' AND '1997/06' GROUP BY ur
   MAX({_epoch('ts')}) AS last_login_date
 FROM events GROUP BY user_id""",
 
+    "online_status_stream": f"""SELECT 'user_' || CAST(user_id AS VARCHAR) AS username, event_type AS online_status,
+  {_epoch('ts')} AS last_login_date FROM events""",
+
     "flatten_json": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props__k, user_id FROM events""",
 
     "child_table": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position,

@@ -35,6 +35,7 @@ from stellate.sources.csv import read_csv, write_csv
 from stellate.sources.staging import load_report as staged_load_report
 from stellate.sources.staging import stage
 from stellate.sources.store import TableStore
+from stellate.streaming import ingest_new_files
 
 LINEAGE = ["_load_id", "_row_id"]
 
@@ -446,6 +447,26 @@ def online_status(spark, sf_dir):
     return store.read(J.STATUS_TABLE).select("username", "online_status", "last_login_date")
 
 
+STREAM_SPLIT = "2024-01-16"          # events before / after this day land in two drops
+
+
+def online_status_stream(spark, sf_dir):
+    """Append-only landing folder ingested by a file stream: the second run
+    takes only the files of the second drop."""
+    ev = si.tables(spark, sf_dir)("events")
+    snaps = ev.select(_username("user_id").alias("username"), F.col("event_type").alias("onlineStatus"),
+                      si.epoch_seconds("ts").alias("lastLoginDate"), F.col("ts"))
+    landing = new_scratch_dir(spark, "status-landing")
+    checkpoint = new_scratch_dir(spark, "status-stream")
+    store = _store(spark, "status-stream")
+    schema = "username string, onlineStatus string, lastLoginDate bigint"
+    for name, cond in (("drop1", F.col("ts") < STREAM_SPLIT), ("drop2", F.col("ts") >= STREAM_SPLIT)):
+        snaps.filter(cond).drop("ts").write.json(f"{landing}/{name}")
+        ingest_new_files(spark, f"{landing}/*", schema, store, J.STATUS_TABLE, checkpoint,
+                         transform=normalize_names)
+    return store.read(J.STATUS_TABLE).select("username", "online_status", "last_login_date")
+
+
 def flatten_json(spark, sf_dir):
     ev = si.tables(spark, sf_dir)("events")
     lines = ev.select(F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"),
@@ -541,6 +562,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_ledger": archive_ledger,
     "missing_archives": missing_archives,
     "online_status": online_status,
+    "online_status_stream": online_status_stream,
     "flatten_json": flatten_json,
     "child_table": child_table,
     "missing_lists": missing_lists,
