@@ -71,23 +71,56 @@ def assign_dense_keys(df: DataFrame, key_col: str, *, order_by: list[str] | tupl
         else:
             staged = staged.repartitionByRange(*order).sortWithinPartitions(*order)
             repeatable = False
-    tagged = staged.select(
-        *[F.col(f"`{c}`") for c in cols],
-        F.spark_partition_id().alias("_k_part"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)).alias("_k_idx"),
-    )
+    tagged = _tag(staged).drop("_k_tie") if "_k_tie" in staged.columns else _tag(staged)
     if not repeatable:
         path = new_scratch_dir(spark, "dense-keys")
         tagged.write.parquet(path)
         tagged = spark.read.schema(tagged.schema).parquet(path)
 
-    counts = sorted((r[0], r[1]) for r in tagged.groupBy("_k_part").agg(F.count(F.lit(1))).collect())
+    return _with_offsets(tagged, cols, key_col, partition_counts(tagged, tagged=True), start)
+
+
+def partition_counts(df: DataFrame, tagged: bool = False) -> list[tuple[int, int]]:
+    """(partition id, rows) for every non-empty partition: one number per
+    partition, collected like ``RDD.zipWithIndex`` does. Reads no columns of
+    an untagged scan."""
+    part = F.col("_k_part") if tagged else F.spark_partition_id()
+    return sorted((r[0], r[1]) for r in df.groupBy(part.alias("_k_part")).agg(F.count(F.lit(1))).collect())
+
+
+def _tag(df: DataFrame) -> DataFrame:
+    return df.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.spark_partition_id().alias("_k_part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)).alias("_k_idx"),
+    )
+
+
+def _with_offsets(tagged: DataFrame, cols: list[str], key_col: str, counts: list[tuple[int, int]],
+                  start: int) -> tuple[DataFrame, int]:
     offsets, running = [], 0
     for part, n in counts:
         offsets.append((part, running))
         running += n
-    off_df = spark.createDataFrame(offsets, "_k_part int, _k_off bigint")
+    off_df = tagged.sparkSession.createDataFrame(offsets, "_k_part int, _k_off bigint")
     keyed = tagged.join(F.broadcast(off_df), "_k_part").select(
         *[F.col(f"`{c}`") for c in cols],
         (F.lit(start) + F.col("_k_off") + F.col("_k_idx") + 1).cast("bigint").alias(key_col))
     return keyed, start + running
+
+
+def keys_counted_from(df: DataFrame, key_col: str, counts_from: DataFrame, start: int = 0):
+    """Input-order keys for ``df`` = ``counts_from`` plus row-preserving,
+    shuffle-free steps (projections, broadcast left joins). The per-partition
+    counts come from ``counts_from`` (a scan that reads no columns), so
+    ``df`` is computed once, by the job that writes it. Returns (keyed,
+    high, observation): the caller must check ``observation.get['rows'] ==
+    high - start`` after the write (a left join that multiplied rows breaks
+    it) and fall back to ``assign_dense_keys`` otherwise. Returns None when
+    ``df`` is not shuffle-free."""
+    from pyspark.sql import Observation
+    if not (is_shuffle_free(df) and is_shuffle_free(counts_from)):
+        return None
+    keyed, high = _with_offsets(_tag(df), df.columns, key_col, partition_counts(counts_from), start)
+    obs = Observation(f"keys_{key_col}")
+    return keyed.observe(obs, F.count(F.lit(1)).alias("rows")), high, obs

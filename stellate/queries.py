@@ -25,7 +25,7 @@ from stellate.operators.keys import assign_dense_keys
 from stellate.operators.nested import child_rows, explode_list
 from stellate.plans import reports as R
 from stellate.plans.audit import create_error_log, error_summary, run_logged
-from stellate.plans.loads import full_load, merge_load, truncate
+from stellate.plans.loads import full_load, merge_load, truncate, write_fact_with_keys
 from stellate.plans.jobs import run_warehouse
 from stellate.plans.star import build_star
 from stellate.plans.warehouse import COUNTRY, CUSTOMER, PRODUCT, SALES, fact_with_keys
@@ -171,9 +171,10 @@ def dim_surrogate_key(spark, sf_dir):
 def fact_lookup(spark, sf_dir):
     t = si.tables(spark, sf_dir)
     customers, products, countries = _lookup_dims(t)
-    fact = fact_with_keys(si.sales(t), customers, products, countries)
+    sales = si.sales(t)
+    fact = fact_with_keys(sales, customers, products, countries)
     store = _store(spark, "lookup")
-    written = store.read_version(store.write_version(SALES.qualified, _keyed(fact, SALES)))
+    written = store.read_version(write_fact_with_keys(store, fact, sales, 0)[0])
     return _key_check(written, SALES.key_column)
 
 

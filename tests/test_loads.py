@@ -139,3 +139,26 @@ def test_sql_over_published_star(spark, store):
         FROM customers_dim c JOIN sales_transactions_fact s ON c.customer_id = s.customer_id
         GROUP BY c.customer_name""").collect()
     assert {r[0]: float(r[1]) for r in got} == {"Ann": 3.0, "Bob": 10.0, "Cy": 5.0}
+
+
+def test_star_build_with_repeated_dimension_key_falls_back(spark, store):
+    _stage_sample(spark, store)
+    dup = spark.createDataFrame([("C1", "Ann again", "US", "RETAIL")],
+                                "customer_id string, customer_name string, country_code string, customer_type string")
+    stage(store, "customer", dup, disposition="append")
+    counts = build_star(store)
+    fact = store.read(SALES.qualified).collect()
+    assert counts["sales_transactions_fact"] == 5 and len(fact) == 5           # T1 matches two customers
+    assert sorted(r.sales_trans_key for r in fact) == [1, 2, 3, 4, 5]
+
+
+def test_fact_keys_use_staged_counts(spark, store):
+    from stellate.operators.keys import keys_counted_from
+    _stage_sample(spark, store)
+    build_star(store)
+    staged = store.read("staging.sales_transactions")
+    fast = keys_counted_from(staged.select("transaction_id"), "k", staged, 10)
+    assert fast is not None
+    keyed, high, obs = fast
+    assert sorted(r.k for r in keyed.collect()) == [11, 12, 13, 14] and high == 14
+    assert obs.get["rows"] == 4
