@@ -74,13 +74,20 @@ def require_not_null(df: DataFrame, cols: list[str]) -> None:
         raise ConstraintViolation(f"NULL value in NOT NULL column(s) {bad}", "23502")
 
 
+def source_key_repeats(source: DataFrame, key: list[str]) -> DataFrame:
+    """Non-NULL source keys that occur more than once (NULL keys never match,
+    so repeating them is legal)."""
+    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    return source.filter(not_null).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def merge_cardinality_violations(source: DataFrame, target: DataFrame, key: list[str] | str) -> DataFrame:
     """Source keys that occur more than once AND match an existing target row.
     Duplicate source keys without a target match are legal (all inserted).
     The source is aggregated first, so only repeated keys meet the target."""
     from stellate.operators.lookups import is_bounded
     key = [key] if isinstance(key, str) else list(key)
-    repeated = (source.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    repeated = source_key_repeats(source, key)
     if is_bounded(repeated.select(*key)):
         # usual case: few or no repeated keys. Stream the target's key
         # columns past them (map-side) instead of shuffling the target.
