@@ -33,3 +33,15 @@ def test_compaction_keeps_rows_and_replay_guard(spark, store):
     assert sorted(r.username for r in store.read("landing.c").collect()) == [f"u{i}" for i in range(5)]
     store.append("landing.c", spark.createDataFrame([("u0", "x")], SCHEMA), load_id="stream-q-0")
     assert store.read("landing.c").count() == 5
+
+
+def test_manifest_hint_may_be_stale(spark, store):
+    store.append("landing.h", spark.createDataFrame([("a", "x")], SCHEMA))
+    store.append("landing.h", spark.createDataFrame([("b", "x")], SCHEMA))
+    path = store._Path(f"{store.root}/_manifest/_latest")
+    out = store._fs.create(path, True)
+    out.write(bytearray(b"1"))          # stale hint: readers must still find commit 2
+    out.close()
+    assert store.version() == 2 and store.read("landing.h").count() == 2
+    store.append("landing.h", spark.createDataFrame([("c", "x")], SCHEMA))
+    assert store.version() == 3
