@@ -96,31 +96,52 @@ def _tag(df: DataFrame) -> DataFrame:
     )
 
 
-def _with_offsets(tagged: DataFrame, cols: list[str], key_col: str, counts: list[tuple[int, int]],
-                  start: int) -> tuple[DataFrame, int]:
+def _offsets_frame(tagged: DataFrame, counts: list[tuple[int, int]]) -> tuple[DataFrame, int]:
     offsets, running = [], 0
     for part, n in counts:
-        offsets.append((part, running))
+        offsets.append((part, running, n))
         running += n
-    off_df = tagged.sparkSession.createDataFrame(offsets, "_k_part int, _k_off bigint")
+    return tagged.sparkSession.createDataFrame(offsets, "_k_part int, _k_off bigint, _k_n bigint"), running
+
+
+def _with_offsets(tagged: DataFrame, cols: list[str], key_col: str, counts: list[tuple[int, int]],
+                  start: int) -> tuple[DataFrame, int]:
+    off_df, total = _offsets_frame(tagged, counts)
     keyed = tagged.join(F.broadcast(off_df), "_k_part").select(
         *[F.col(f"`{c}`") for c in cols],
         (F.lit(start) + F.col("_k_off") + F.col("_k_idx") + 1).cast("bigint").alias(key_col))
-    return keyed, start + running
+    return keyed, start + total
 
 
 def keys_counted_from(df: DataFrame, key_col: str, counts_from: DataFrame, start: int = 0):
     """Input-order keys for ``df`` = ``counts_from`` plus row-preserving,
     shuffle-free steps (projections, broadcast left joins). The per-partition
     counts come from ``counts_from`` (a scan that reads no columns), so
-    ``df`` is computed once, by the job that writes it. Returns (keyed,
-    high, observation): the caller must check ``observation.get['rows'] ==
-    high - start`` after the write (a left join that multiplied rows breaks
-    it) and fall back to ``assign_dense_keys`` otherwise. Returns None when
-    ``df`` is not shuffle-free."""
+    ``df`` is computed once, by the job that writes it.
+
+    Returns (keyed, high, observation) or None when ``df`` is not
+    shuffle-free. After the write the caller must check
+    ``counts_match(observation, high - start)``: it proves that no partition
+    held more rows than counted (no row index reached its partition's count,
+    no row lost its partition) and that the totals agree, hence every
+    partition held exactly its count and the keys are dense and unique. A
+    lookup that multiplied rows fails it; fall back to ``assign_dense_keys``.
+    """
     from pyspark.sql import Observation
     if not (is_shuffle_free(df) and is_shuffle_free(counts_from)):
         return None
-    keyed, high = _with_offsets(_tag(df), df.columns, key_col, partition_counts(counts_from), start)
+    tagged = _tag(df)
+    off_df, total = _offsets_frame(tagged, partition_counts(counts_from))
+    joined = tagged.join(F.broadcast(off_df), "_k_part", "left")
     obs = Observation(f"keys_{key_col}")
-    return keyed.observe(obs, F.count(F.lit(1)).alias("rows")), high, obs
+    checked = joined.observe(obs, F.count(F.lit(1)).alias("rows"),
+                             F.max(F.when(F.col("_k_n").isNull() | (F.col("_k_idx") >= F.col("_k_n")), 1)
+                                   .otherwise(0)).alias("overrun"))
+    keyed = checked.select(*[F.col(f"`{c}`") for c in df.columns],
+                           (F.lit(start) + F.col("_k_off") + F.col("_k_idx") + 1).cast("bigint").alias(key_col))
+    return keyed, start + total, obs
+
+
+def counts_match(obs, expected_rows: int) -> bool:
+    m = obs.get
+    return m["rows"] == expected_rows and (m["overrun"] or 0) == 0
