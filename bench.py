@@ -47,20 +47,25 @@ def main() -> None:
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm):
         QUERIES["above_average_customers"](spark, warm).write.format("noop").mode("overwrite").save()
-    times = {}
+    times, errors = {}, {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # record and go on: one failure must not hide the rest
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "headline_queries_total_sec",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(v for v in times.values() if v is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "config": {"master": f"local[{cpus}]", "shuffle_partitions": int(cpus) * 2, "aqe": True,
                    "warm": True},
+        **({"errors": errors} if errors else {}),
     }))
 
 
