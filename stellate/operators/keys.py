@@ -20,11 +20,17 @@ Tags must be repeatable between the counting job and the final write:
   several partitions): the tagged rows are written to the shared scratch
   folder first. Shuffle fetch order and range sampling are not repeatable,
   and the written table also survives executor loss.
+
+``keys_counted_from`` goes one step further for a fact built from a staged
+scan by broadcast lookups: the counts come from the scan itself (no columns
+read) and the fact is computed once, by its write, with a proof of the
+counts observed during that write.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -133,7 +139,7 @@ def keys_counted_from(df: DataFrame, key_col: str, counts_from: DataFrame, start
     tagged = _tag(df)
     off_df, total = _offsets_frame(tagged, partition_counts(counts_from))
     joined = tagged.join(F.broadcast(off_df), "_k_part", "left")
-    obs = Observation(f"keys_{key_col}")
+    obs = Observation(f"keys_{key_col}_{uuid.uuid4().hex[:8]}")
     checked = joined.observe(obs, F.count(F.lit(1)).alias("rows"),
                              F.max(F.when(F.col("_k_n").isNull() | (F.col("_k_idx") >= F.col("_k_n")), 1)
                                    .otherwise(0)).alias("overrun"))
