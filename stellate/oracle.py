@@ -262,3 +262,6 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "tracked_users": """SELECT event_id, 'user_' || CAST(user_id AS VARCHAR) AS username FROM events
 WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBILE')""",
 }
+
+# Same rows as the plain merge: only the physical layout of the fact differs.
+ORACLE["merge_fact_partitioned"] = ORACLE["merge_fact"]

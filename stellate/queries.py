@@ -25,7 +25,8 @@ from stellate.operators.keys import assign_dense_keys
 from stellate.operators.nested import child_rows, explode_list
 from stellate.plans import reports as R
 from stellate.plans.audit import create_error_log, error_summary, run_logged
-from stellate.plans.loads import full_load, merge_load, truncate, write_fact_with_keys
+from stellate.plans.loads import fact_source, full_load, merge_load, truncate, write_fact_with_keys
+from stellate.plans.partitioned import merge_partitioned, month_of, publish_partitioned
 from stellate.plans.jobs import run_warehouse
 from stellate.plans.star import build_star
 from stellate.plans.warehouse import COUNTRY, CUSTOMER, PRODUCT, SALES, fact_with_keys
@@ -277,6 +278,21 @@ def merge_fact(spark, sf_dir):
     return _key_check(store.read(SALES.qualified).drop(*LINEAGE), SALES.key_column)
 
 
+def merge_fact_partitioned(spark, sf_dir):
+    """``merge_fact`` on a fact stored one folder per month: only the months
+    holding matched keys or incoming rows are rewritten."""
+    t = si.tables(spark, sf_dir)
+    s = si.sales(t)
+    store = _star_store(spark, t, "mergepart", s.filter(F.col("transaction_date") < SALES_A_BEFORE))
+    build_star(store)
+    publish_partitioned(store, SALES.qualified, store.read(SALES.qualified), month_of())
+    later = s.filter(F.col("transaction_date") >= SALES_B_FROM).withColumn("payment_mode", F.lower("payment_mode"))
+    stage(store, "sales_transactions", later)
+    source = fact_source(store, store.read("staging.sales_transactions"))
+    merge_partitioned(store, SALES, source, month_of())
+    return _key_check(store.read(SALES.qualified).drop(*LINEAGE), SALES.key_column)
+
+
 def merge_null_keys(spark, sf_dir):
     t = si.tables(spark, sf_dir)
     store = _store(spark, "mergenull")
@@ -551,6 +567,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "truncate_table": truncate_table,
     "merge_dim": merge_dim,
     "merge_fact": merge_fact,
+    "merge_fact_partitioned": merge_fact_partitioned,
     "merge_null_keys": merge_null_keys,
     "merge_duplicate_check": merge_duplicate_check,
     "error_log_summary": error_log_summary,

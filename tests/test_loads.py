@@ -163,3 +163,29 @@ def test_fact_keys_use_staged_counts(spark, store):
     assert sorted(r.k for r in keyed.collect()) == [11, 12, 13, 14] and high == 14
     from stellate.operators.keys import counts_match
     assert counts_match(obs, 4)
+
+
+def test_partition_scoped_merge(spark, store):
+    from stellate.plans.loads import fact_source
+    from stellate.plans.partitioned import merge_partitioned, month_of, publish_partitioned
+    _stage_sample(spark, store, sales_extra=[("T5", "2024-03-05", "C1", "P1", "1", "3", "7.00", "CARD")])
+    build_star(store)
+    publish_partitioned(store, SALES.qualified, store.read(SALES.qualified), month_of())
+    before = store.partitions(SALES.qualified)
+    assert sorted(before) == ["2024-01", "2024-03"]
+    keys_before = {r.transaction_id: r.sales_trans_key for r in store.read(SALES.qualified).collect()}
+    # T2 moves from January to February, T9 is new in February; March is untouched
+    stage(store, "sales_transactions", spark.createDataFrame(
+        [("T2", "2024-02-10", "C2", "P2", "2", "5", "11.00", "CASH"),
+         ("T9", "2024-02-11", "C1", "P1", "1", "3", "3.00", "CARD")],
+        "transaction_id string, transaction_date string, customer_id string, product_id string, "
+        "quantity string, unit_price string, total_amount string, payment_mode string"))
+    inserted, touched = merge_partitioned(store, SALES, fact_source(store), month_of())
+    assert inserted == 1 and touched == ["2024-01", "2024-02"]
+    after = store.partitions(SALES.qualified)
+    assert after["2024-03"] == before["2024-03"]                  # untouched files kept by reference
+    rows = {r.transaction_id: r for r in store.read(SALES.qualified).collect()}
+    assert len(rows) == 6 and rows["T2"].transaction_date == "2024-02-10" and rows["T2"].total_amount == "11.00"
+    assert rows["T2"].sales_trans_key == keys_before["T2"] and rows["T9"].sales_trans_key == 6
+    feb = store.read_partitions(SALES.qualified, ["2024-02"]).collect()
+    assert sorted(r.transaction_id for r in feb) == ["T2", "T9"]
