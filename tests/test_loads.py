@@ -189,3 +189,15 @@ def test_partition_scoped_merge(spark, store):
     assert rows["T2"].sales_trans_key == keys_before["T2"] and rows["T9"].sales_trans_key == 6
     feb = store.read_partitions(SALES.qualified, ["2024-02"]).collect()
     assert sorted(r.transaction_id for r in feb) == ["T2", "T9"]
+
+
+def test_partition_guards(spark, store):
+    from stellate.plans.partitioned import merge_partitioned, month_of, publish_partitioned
+    _stage_sample(spark, store)
+    build_star(store)
+    src = store.read("staging.sales_transactions")
+    with pytest.raises(ValueError):
+        merge_partitioned(store, SALES, src, month_of())        # plain table: would lose matches
+    publish_partitioned(store, SALES.qualified, store.read(SALES.qualified), month_of())
+    with pytest.raises(ValueError):
+        store.compact(SALES.qualified)
