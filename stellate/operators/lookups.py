@@ -41,14 +41,8 @@ def _immutable_key(df: DataFrame) -> tuple | None:
     return (qe.analyzed().semanticHash(), tuple(sorted(files)))
 
 
-def measured_bytes(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of ``df`` measured by one aggregate job: fixed-width
-    columns by their type size, strings and binaries by their real length,
-    nested columns by the length of their JSON form. Plans over immutable
-    store/scratch data are measured once per session."""
-    key = _immutable_key(df)
-    if key is not None and key in _MEASURED:
-        return _MEASURED[key]
+def _size_exprs(df: DataFrame):
+    """(fixed bytes per row, column summing the variable-width bytes)."""
     var, fixed = [], 0
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -61,14 +55,47 @@ def measured_bytes(df: DataFrame) -> tuple[int, int]:
             fixed += 8 if dt.precision <= 18 else 16
         else:
             fixed += _FIXED_WIDTH.get(type(dt), 16)
-    row = df.agg(F.count(F.lit(1)), *var).first()
-    rows = int(row[0])
-    out = rows, rows * (fixed + 16) + sum(int(v) for v in row[1:])
-    if key is not None:
-        _MEASURED[key] = out
+    total = F.lit(0).cast("bigint")
+    for v in var:
+        total = total + v
+    return fixed, total
+
+
+def measured_bytes_many(dfs: list[DataFrame]) -> list[tuple[int, int]]:
+    """(rows, bytes) of several DataFrames, measured together in one job (a
+    union of one-row aggregates): fixed-width columns by their type size,
+    strings and binaries by their real length, nested columns by the length
+    of their JSON form. Plans over immutable store/scratch data are measured
+    once per session."""
+    out: list[tuple[int, int] | None] = [None] * len(dfs)
+    todo = []
+    for i, df in enumerate(dfs):
+        key = _immutable_key(df)
+        if key is not None and key in _MEASURED:
+            out[i] = _MEASURED[key]
+        else:
+            todo.append((i, df, key))
+    if todo:
+        parts = []
+        for i, df, _ in todo:
+            fixed, var = _size_exprs(df)
+            parts.append(df.agg(F.count(F.lit(1)).alias("rows"), var.alias("var"))
+                         .select(F.lit(i).alias("i"), "rows", "var", F.lit(fixed + 16).alias("width")))
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        for r in union.collect():
+            out[r["i"]] = (int(r["rows"]), int(r["rows"]) * int(r["width"]) + int(r["var"]))
+        for i, _, key in todo:
+            if key is not None:
+                _MEASURED[key] = out[i]
     return out
 
 
+def measured_bytes(df: DataFrame) -> tuple[int, int]:
+    return measured_bytes_many([df])[0]
+
+
 # Catalyst's size estimate comes from (compressed) file sizes; a table whose
 # estimate exceeds the limit this many times over is not measured at all.
 _ESTIMATE_MARGIN = 8
@@ -108,6 +135,17 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     return F.broadcast(df) if is_bounded(df, max_bytes) else df
 
 
+def bounded_broadcast_many(dfs: list[DataFrame], max_bytes: int | None = None) -> list[DataFrame]:
+    """``bounded_broadcast`` for several tables, measured in one job."""
+    if not dfs:
+        return []
+    limit = _broadcast_limit(dfs[0], max_bytes)
+    candidates = [i for i, df in enumerate(dfs)
+                  if not (_estimate_is_scan_size(df) and estimated_bytes(df) > _ESTIMATE_MARGIN * limit)]
+    sizes = dict(zip(candidates, measured_bytes_many([dfs[i] for i in candidates])))
+    return [F.broadcast(df) if i in sizes and sizes[i][1] <= limit else df for i, df in enumerate(dfs)]
+
+
 @dataclass(frozen=True)
 class Lookup:
     """Left-join ``dim`` on ``fact_col == dim_col`` and add ``key_col``.
@@ -131,11 +169,12 @@ def lookup_keys(fact: DataFrame, lookups: list[Lookup], *, broadcast_bytes: int
     measured; larger ones are joined by shuffle."""
     out = fact
     carried: list[str] = []
-    for i, lk in enumerate(lookups):
+    rights = [lk.dim.select(F.col(lk.dim_col).alias(f"_lk{i}_bk"), F.col(lk.key_col),
+                            *[F.col(src).alias(dst) for src, dst in lk.carry.items()])
+              for i, lk in enumerate(lookups)]
+    rights = bounded_broadcast_many(rights, broadcast_bytes)      # one measuring job for all
+    for i, (lk, right) in enumerate(zip(lookups, rights)):
         bk = f"_lk{i}_bk"
-        right = lk.dim.select(F.col(lk.dim_col).alias(bk), F.col(lk.key_col),
-                              *[F.col(src).alias(dst) for src, dst in lk.carry.items()])
-        right = bounded_broadcast(right, broadcast_bytes)
         out = out.join(right, F.col(lk.fact_col) == F.col(bk), "left").drop(bk)
         carried += list(lk.carry.values())
     if not keep_carried and carried:
