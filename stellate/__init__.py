@@ -6,7 +6,14 @@ key checks -> sales reports. Every operator is a DataFrame / Spark SQL
 composition that runs on executors.
 """
 
-from stellate.session import build_session, scratch_root, new_scratch_dir
+from stellate.session import build_session, new_scratch_dir, recommended_conf, scratch_root
 from stellate.spec import TableSpec
+from stellate.sources.store import TableStore
+from stellate.operators.keys import assign_dense_keys
+from stellate.operators.lookups import Lookup, bounded_broadcast, lookup_keys
+from stellate.operators.merge import merge_type1
 
-__all__ = ["build_session", "scratch_root", "new_scratch_dir", "TableSpec"]
+__all__ = [
+    "build_session", "scratch_root", "new_scratch_dir", "recommended_conf", "TableSpec", "TableStore",
+    "assign_dense_keys", "Lookup", "bounded_broadcast", "lookup_keys", "merge_type1",
+]
