@@ -61,3 +61,13 @@ def test_keyed_dimensions_are_broadcast(spark):
     fact = spark.range(100).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("x"))
     plan = lookup_keys(fact, [Lookup(dim, "x", "x", "xk")])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_batched_broadcast_decisions(spark):
+    from stellate.operators.lookups import bounded_broadcast_many
+    small = spark.createDataFrame([(1, "a")], "k long, s string")
+    large = spark.createDataFrame([(i, "x" * 100) for i in range(200)], "k long, s string")
+    out = bounded_broadcast_many([small, large], max_bytes=2000)
+    hinted = ["broadcast" in d._jdf.queryExecution().logical().toString().lower() for d in out]
+    assert hinted == [True, False]
+    assert bounded_broadcast_many([]) == []
