@@ -97,3 +97,17 @@ def test_strict_cast_without_ansi(spark):
         df.select(strict_decimal("x", ansi=False)).collect()
     ok = spark.createDataFrame([("1.5",), (None,)], "x string").select(strict_decimal("x", ansi=False).alias("d"))
     assert [r.d for r in ok.collect()] == [Decimal("1.500000"), None]
+
+
+def test_strict_cast_follows_session_ansi(spark):
+    import pytest
+    from stellate.functions.casts import strict_decimal
+    df = spark.createDataFrame([("1.5",), ("abc",)], "x string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            df.select(strict_decimal("x").alias("d")).collect()
+        good = spark.createDataFrame([("2.25",)], "x string").select(strict_decimal("x").alias("d"))
+        assert good.collect()[0].d == Decimal("2.250000")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
