@@ -37,3 +37,35 @@ def test_fk_violation_counts_single_pass(spark):
     da = spark.createDataFrame([(1,), (2,), (2,)], "k long")
     db = spark.createDataFrame([(10,)], "k long")
     assert fk_violation_counts(fact, [("a", da, "k"), ("b", db, "k")]) == {"a": 1, "b": 1}
+
+
+def test_sqlstate_of_wrappers():
+    from stellate.plans.audit import message_of, sqlstate_of
+
+    class JavaErr:
+        def __init__(self, state, cause=None):
+            self.state, self.cause = state, cause
+
+        def getSqlState(self):  # noqa: N802
+            if self.state is None:
+                raise RuntimeError("no such method")
+            return self.state
+
+        def getCause(self):  # noqa: N802
+            return self.cause
+
+    class Py4JLike(Exception):
+        pass
+
+    wrapped = Py4JLike("An error occurred\n\nJVM stacktrace:\nat ...")
+    wrapped.java_exception = JavaErr(None, JavaErr("22012"))
+    assert sqlstate_of(wrapped) == "22012"
+    assert message_of(wrapped) == "An error occurred"
+    assert sqlstate_of(ValueError("x")) == "ValueError"
+    try:
+        try:
+            raise ConstraintViolation("dup", "23505")
+        except ConstraintViolation as inner:
+            raise RuntimeError("job failed") from inner
+    except RuntimeError as outer:
+        assert sqlstate_of(outer) == "23505"
