@@ -73,6 +73,10 @@ def measured_bytes_many(dfs: list[DataFrame]) -> list[tuple[int, int]]:
         key = _immutable_key(df)
         if key is not None and key in _MEASURED:
             out[i] = _MEASURED[key]
+            continue
+        written = _written_size(df)
+        if written is not None:
+            out[i] = written
         else:
             todo.append((i, df, key))
     if todo:
@@ -92,6 +96,25 @@ def measured_bytes_many(dfs: list[DataFrame]) -> list[tuple[int, int]]:
     return out
 
 
+def _written_size(df: DataFrame) -> tuple[int, int] | None:
+    """Upper bound from sizes observed when the versions were written, for
+    plain reads (scan, filter, projection) of such versions; None otherwise."""
+    from stellate.sources.store import VERSION_SIZES, _plain_path
+    if not VERSION_SIZES or not _estimate_is_scan_size(df):
+        return None
+    versions = set()
+    for f in df.inputFiles():
+        plain = _plain_path(f)
+        match = next((v for v in VERSION_SIZES if plain.startswith(v + "/")), None)
+        if match is None:
+            return None
+        versions.add(match)
+    if not versions:
+        return None
+    sizes = [VERSION_SIZES[v] for v in versions]
+    return sum(r for r, _ in sizes), sum(b for _, b in sizes)
+
+
 def measured_bytes(df: DataFrame) -> tuple[int, int]:
     return measured_bytes_many([df])[0]
 
