@@ -96,11 +96,25 @@ def measured_bytes_many(dfs: list[DataFrame]) -> list[tuple[int, int]]:
     return out
 
 
+def _pure_scan(df: DataFrame) -> bool:
+    """Only relation scans, filters and projections of plain columns (no
+    computed values), so the result is never larger than what was read."""
+    for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines():
+        node = line.lstrip(" :+-").strip()
+        if not node or node.startswith("Relation") or node.startswith("Filter"):
+            continue
+        if node.startswith("Project") and "(" not in node:
+            continue
+        return False
+    return True
+
+
 def _written_size(df: DataFrame) -> tuple[int, int] | None:
     """Upper bound from sizes observed when the versions were written, for
-    plain reads (scan, filter, projection) of such versions; None otherwise."""
+    plain reads (scan, filter, column projection) of such versions; None
+    otherwise."""
     from stellate.sources.store import VERSION_SIZES, _plain_path
-    if not VERSION_SIZES or not _estimate_is_scan_size(df):
+    if not VERSION_SIZES or not _pure_scan(df):
         return None
     versions = set()
     for f in df.inputFiles():
