@@ -3,7 +3,7 @@ queries over the whole given tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from stellate.llm import quality_rules
+from stellate.llm import decontamination, quality_rules
 from stellate.llm.common import table
 
 
@@ -12,7 +12,13 @@ def op9_quality_rules(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_decontamination(spark, sf_dir):
+    out = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.drop("text_hash", "items")
+
+
 QUERIES = {
+    "op10_decontamination": op10_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
-ORACLE = {"op9_quality_rules": quality_rules.ORACLE}
+ORACLE = {"op10_decontamination": decontamination.ORACLE, "op9_quality_rules": quality_rules.ORACLE}
