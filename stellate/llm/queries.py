@@ -3,7 +3,7 @@ queries over the whole given tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from stellate.llm import decontamination, quality_rules
+from stellate.llm import decontamination, mixing, quality_rules, sharding
 from stellate.llm.common import table
 
 
@@ -17,7 +17,17 @@ def op10_decontamination(spark, sf_dir):
     return out.drop("text_hash", "items")
 
 
+def op2_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+def op4_sharding(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_mixing": op2_mixing,
+    "op4_sharding": op4_sharding,
     "op10_decontamination": op10_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
