@@ -3,7 +3,7 @@ queries over the whole given tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from stellate.llm import decontamination, mixing, quality_rules, sharding
+from stellate.llm import decontamination, mixing, ngram_join, quality_rules, sharding
 from stellate.llm.common import table
 
 
@@ -25,7 +25,12 @@ def op4_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 QUERIES = {
+    "op7_ngram_join": op7_ngram_join,
     "op2_mixing": op2_mixing,
     "op4_sharding": op4_sharding,
     "op10_decontamination": op10_decontamination,
