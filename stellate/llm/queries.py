@@ -3,7 +3,7 @@ queries over the whole given tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from stellate.llm import decontamination, mixing, ngram_join, quality_rules, sharding
+from stellate.llm import decontamination, mixing, ngram_join, quality_classifier, quality_rules, sharding, toxicity
 from stellate.llm.common import table
 
 
@@ -29,7 +29,17 @@ def op7_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_quality_classifier(spark, sf_dir):
+    return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op3_quality_classifier": op3_quality_classifier,
     "op7_ngram_join": op7_ngram_join,
     "op2_mixing": op2_mixing,
     "op4_sharding": op4_sharding,
