@@ -3,7 +3,7 @@ queries over the whole given tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from stellate.llm import decontamination, mixing, ngram_join, quality_classifier, quality_rules, sharding, toxicity
+from stellate.llm import decontamination, language_id, mixing, ngram_join, quality_classifier, quality_rules, sharding, token_counts, toxicity
 from stellate.llm.common import table
 
 
@@ -37,7 +37,17 @@ def op3_quality_classifier(spark, sf_dir):
     return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_language_id": op5_language_id,
+    "op6_token_counts": op6_token_counts,
     "op1_toxicity": op1_toxicity,
     "op3_quality_classifier": op3_quality_classifier,
     "op7_ngram_join": op7_ngram_join,
