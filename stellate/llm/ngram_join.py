@@ -44,7 +44,7 @@ from stellate.llm.common import materialise
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BITS = 1024
+_BITS = 1024  # of a bitmap, at least
 BATCH_WORDS = 500_000
 
 
@@ -84,7 +84,7 @@ def shingle_sets(texts: list, n: int):
 class Bands:
     """Size bands and, per tile, the number of buckets and of empty ones allowed."""
 
-    def __init__(self, percent: int, ratio: float = 1.5, largest: int = 1 << 40):
+    def __init__(self, percent: int, ratio: float = 1.3, largest: int = 1 << 40):
         self.percent, lows = percent, [1]
         while lows[-1] < largest:
             lows.append(max(lows[-1] + 1, int(lows[-1] * ratio)))
@@ -101,7 +101,7 @@ class Bands:
             if b == own or size <= most:
                 differ = (high + most) * (100 - self.percent) // (100 + self.percent)
                 if differ:  # else only equal sets link, and those are one class
-                    spare = 1 if differ < 20 else 2 if differ < 60 else 3
+                    spare = 1 if differ < 10 else 2 + differ // 20
                     out.append((b, differ + 1 + spare, spare))
         return out
 
@@ -121,12 +121,22 @@ def bucket_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
-    odd = (np.bincount((shingles & np.uint64(_BITS - 1)).astype(np.int64), minlength=_BITS) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
+    """Bit j: whether an odd number of shingles has hash j modulo the width, a
+    power of two of at least the set's size."""
+    width = max(_BITS, 1 << (len(shingles) - 1).bit_length())
+    odd = (np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.uint64)
+
+
+def _fold(bitmap: np.ndarray, longs: int) -> np.ndarray:
+    """The bitmap for a smaller width: parities of halves add up."""
+    while len(bitmap) > longs:
+        bitmap = bitmap[:len(bitmap) // 2] ^ bitmap[len(bitmap) // 2:]
+    return bitmap
 
 
 _SETS = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()),
-                   ("digest", pa.binary()), ("bitmap", pa.list_(pa.int64())), ("keys", pa.binary())])
+                   ("digest", pa.binary()), ("bitmap", pa.binary()), ("keys", pa.binary())])
 
 
 def _slices(batch, rows: int = 1000):
@@ -144,16 +154,16 @@ def build_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 for s in shingle_sets(b.column("text").to_pylist(), n):
                     ns.append(len(s))
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                    bitmaps.append(parity_bitmap(s) if len(s) else None)
+                    bitmaps.append(parity_bitmap(s).tobytes() if len(s) else None)
                     keys.append(bucket_keys(s, bands).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [b.column("uid"), b.column("doc_id"), b.column("text_hash"), pa.array(ns, pa.int64()),
-                     pa.array(digests, pa.binary()), pa.array(bitmaps, pa.list_(pa.int64())), pa.array(keys, pa.binary())], schema=_SETS)
+                     pa.array(digests, pa.binary()), pa.array(bitmaps, pa.binary()), pa.array(keys, pa.binary())], schema=_SETS)
 
     source = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"),
                          F.xxhash64("text").alias("text_hash"), "text")
     return materialise(source.mapInArrow(rows, "uid bigint, doc_id bigint, text_hash bigint, n bigint, digest binary, "
-                                               "bitmap array<bigint>, keys binary"), "shingle-sets")
+                                               "bitmap binary, keys binary"), "shingle-sets")
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -247,21 +257,31 @@ def open_groups(sets: DataFrame, parts: int) -> DataFrame:
     return sets.select("comp", "keys").mapInArrow(deal, _DEALT_SQL).groupBy("p").applyInPandas(meet, "key bigint, members bigint")
 
 
-def _bounded(a: str, b: str, percent: int):
-    """Whether sizes and bitmaps leave room for a link."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = F.aggregate(F.zip_with(f"{a}.bitmap", f"{b}.bitmap", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
-                         F.lit(0).cast("long"), lambda s, x: s + x)
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
+def _room(n, m, differ, percent: int):
+    """Whether sizes and the least number of differing shingles allow a link."""
+    return ((100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m)))
+
+
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and bitmaps do not rule out."""
+    def passes(batches):
+        for whole in batches:
+            for b in _slices(whole):
+                x, y = ([np.frombuffer(v, np.uint64) for v in b.column(c).to_pylist()] for c in ("x", "y"))
+                differ = np.array([int(np.bitwise_count(_fold(p, len(q)) ^ _fold(q, len(p))).sum()) for p, q in zip(x, y)], np.int64)
+                keep = _room(b.column("n").to_numpy(), b.column("m").to_numpy(), differ, percent)
+                yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    info = sets.select("uid", "n", "bitmap")
+    both = pairs.join(info.toDF("a", "n", "x"), "a").join(info.toDF("b", "m", "y"), "b")
+    both = both.where((100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
+    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(passes, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent: int, broadcast_rows: int = 500_000) -> DataFrame:
     """The pairs that link: bound first, then exact intersection of arrays
     recomputed from the texts of the documents that are left."""
-    info = sets.select("uid", F.struct("n", "bitmap").alias("i"))
-    left = pairs.join(info.select(F.col("uid").alias("a"), F.col("i").alias("x")), "a").join(
-        info.select(F.col("uid").alias("b"), F.col("i").alias("y")), "b")
-    left = materialise(left.where(_bounded("x", "y", percent)).select("a", "b"), "near-pairs")
+    left = materialise(_bounded(pairs, sets, percent), "near-pairs")
     wanted = left.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
     wanted = materialise(sets.select("uid", F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).join(wanted, "uid"), "near-docs")
     if wanted.count() <= broadcast_rows:  # 24 bytes a row
@@ -338,15 +358,15 @@ def _across_components(groups: DataFrame, members: DataFrame, sets: DataFrame, p
 
         def tile(t):
             i, j, m, n = t.i.iloc[0], t.j.iloc[0], t.m.to_numpy(), t.n.to_numpy()
-            bits, comp, uid = np.stack(t.bitmap.to_numpy()).view(np.uint64), t.comp.to_numpy(), t.uid.to_numpy()
+            bits, comp, uid = [np.frombuffer(x, np.uint64) for x in t.bitmap], t.comp.to_numpy(), t.uid.to_numpy()
+            bits = np.stack([_fold(x, min(map(len, bits))) for x in bits])
             left, right = np.flatnonzero(m == i), np.flatnonzero(m == j)
             a, b = [], []
             for x in left:
                 y = right if i != j else right[right > x]
                 y = y[comp[y] != comp[x]]
                 differ = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
-                y = y[((100 + percent) * differ <= (100 - percent) * (n[y] + n[x]))
-                      & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
+                y = y[_room(n[y], n[x], differ, percent)]
                 a.append(np.minimum(uid[y], uid[x]))
                 b.append(np.maximum(uid[y], uid[x]))
             return (np.concatenate(a), np.concatenate(b)) if a else (uid[:0], uid[:0])

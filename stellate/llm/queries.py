@@ -3,7 +3,7 @@ queries over the whole given tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from stellate.llm import decontamination, language_id, mixing, ngram_join, quality_classifier, quality_rules, sharding, token_counts, toxicity
+from stellate.llm import decontamination, language_id, mixing, ngram_join, quality_classifier, quality_rules, sharding, token_counts, toxicity, warc
 from stellate.llm.common import table
 
 
@@ -45,7 +45,13 @@ def op6_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark, sf_dir):
+    out = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op8_warc": op8_warc,
     "op5_language_id": op5_language_id,
     "op6_token_counts": op6_token_counts,
     "op1_toxicity": op1_toxicity,
