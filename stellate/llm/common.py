@@ -25,6 +25,13 @@ def materialise(df: DataFrame, tag: str, **options: object) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, tag: str, max_rows: int = 500_000) -> DataFrame:
+    """``df`` written, and marked for a broadcast only if it has at most
+    ``max_rows`` (short) rows; beyond that Spark joins it by shuffling."""
+    df = materialise(df, tag)
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32(doc_id as text) mod ``modulus`` is ``remainder``; a NULL
     id is never held out (and has no label)."""

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import materialise
+from stellate.llm.common import bounded, materialise
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -278,14 +278,12 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n", "m", "x", "y").mapInArrow(passes, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent: int, broadcast_rows: int = 500_000) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs that link: bound first, then exact intersection of arrays
     recomputed from the texts of the documents that are left."""
     left = materialise(_bounded(pairs, sets, percent), "near-pairs")
     wanted = left.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    wanted = materialise(sets.select("uid", F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).join(wanted, "uid"), "near-docs")
-    if wanted.count() <= broadcast_rows:  # 24 bytes a row
-        wanted = F.broadcast(wanted)
+    wanted = bounded(sets.select("uid", F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).join(wanted, "uid"), "near-docs")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(
         wanted, (F.col("text_hash") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d"))).select("uid", "text")
 
@@ -391,12 +389,14 @@ def _across_components(groups: DataFrame, members: DataFrame, sets: DataFrame, p
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: int = 512) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id), one row per document."""
+    """(doc_id, text_hash, n_shingles, component_id, is_first), one row per
+    document; exactly one row of a component is its first."""
     spark = docs.sparkSession
     sets = build_sets(docs, n, percent)
     filled = sets.where("n > 0")
-    classes = materialise(filled.groupBy("digest").agg(F.min("uid").alias("rep"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("rows"),
-                                                       ), "classes")
+    lowest = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("doc_id"), F.col("uid").alias("uid"))
+    classes = materialise(filled.groupBy("digest").agg(F.min("uid").alias("rep"), F.min(lowest).alias("low"),
+                                                       F.count(F.lit(1)).alias("rows")), "classes")
     copies = sets.join(classes.where("rows > 1"), "digest").where("uid <> rep").select("uid")
     reps = filled.join(copies, "uid", "left_anti")
     total = sets.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
@@ -417,8 +417,9 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows
             found = components(edges.unionAll(new))
     of_class = classes.join(found.withColumnRenamed("uid", "rep"), "rep", "left").select(
         "digest", "low", F.coalesce("comp", "rep").alias("comp"))
-    lowest = of_class.groupBy("comp").agg(F.min("low").alias("component_id"))
-    of_class = of_class.join(lowest, "comp").select("digest", "component_id")
-    return sets.select("doc_id", "text_hash", "n", "digest").join(of_class, "digest", "left").select(
+    first = of_class.groupBy("comp").agg(F.min("low").alias("low"))
+    of_class = of_class.select("digest", "comp").join(first, "comp").select("digest", "low")
+    return sets.select("uid", "doc_id", "text_hash", "n", "digest").join(of_class, "digest", "left").select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("low.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        ((F.col("n") == 0) | (F.col("uid") == F.col("low.uid"))).alias("is_first"))

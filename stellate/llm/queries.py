@@ -26,7 +26,7 @@ def op4_sharding(spark, sf_dir):
 
 
 def op7_ngram_join(spark, sf_dir):
-    return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash", "is_first")
 
 
 def op1_toxicity(spark, sf_dir):

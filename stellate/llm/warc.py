@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import materialise
+from stellate.llm.common import bounded, materialise
 from stellate.session import new_scratch_dir
 
 _KEEP = "/:?#[]@!$&'()*+,;=%-._~"
@@ -101,17 +101,14 @@ def parse_record(member: bytes) -> tuple[dict, bytes]:
 
 
 def write_archives(pages: DataFrame, root: str, min_revisit_bytes: int = 0, roll_bytes: int = 1 << 30,
-                   captured_at: str = "2000-01-01T00:00:00Z", broadcast_rows: int = 500_000) -> DataFrame:
+                   captured_at: str = "2000-01-01T00:00:00Z") -> DataFrame:
     """Write every row of (page_id, url, html); the captures with their places."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.unhex(F.sha1("payload")))
     again = rows.where(F.octet_length("payload") >= min_revisit_bytes).groupBy("sha").agg(
         F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL").select("sha", "first")
-    again = materialise(again, "warc-again")
-    if again.count() <= broadcast_rows:  # 28 bytes a row
-        again = F.broadcast(again)
-    rows = rows.join(again, "sha", "left").withColumn(
+    rows = rows.join(bounded(again, "warc-again"), "sha", "left").withColumn(
         "refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first")))
 
     def write(batches):
