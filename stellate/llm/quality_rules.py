@@ -62,13 +62,16 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         F.filter("_p", lambda x, k: F.coalesce(x["h"] == F.get("_p", k - 1)["h"], F.lit(False))
                  | F.coalesce(x["h"] == F.get("_p", k + 1)["h"], F.lit(False))), lambda x: x["i"]))
     d = d.select("*", F.when(F.size("_r") > FEW, many).when(F.size("_r") > 0, few).alias("_c"))
+    # always true, but not deterministic: keeps later filters from being pushed
+    # below, which would repeat the whole chain of expressions in each of them
+    always = F.monotonically_increasing_id() >= 0
     return d.select(
         "doc_id", "text", n.cast("long").alias("n_words"),
         F.length(F.translate("text", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(_covered(F.col("_c")), F.lit(0)).cast("long").alias("n_repeat_words"))
+        F.when(always, F.coalesce(_covered(F.col("_c")), F.lit(0)).cast("long")).alias("n_repeat_words"))
 
 
 def rank_rules(stats: DataFrame, rules: dict[str, str] = RULES, sample_rows: int = 2000) -> list[tuple[str, float, float]]:
