@@ -1,0 +1,49 @@
+import random
+import zlib
+
+import corpus_pipeline
+import llm_models as models
+from stellate.llm.common import materialise
+
+
+def test_stages_take_effect(spark, tmp_path):
+    rng = random.Random(21)
+    own = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    passage = own(40)
+    docs = [(i, own(90), "en", f"s{i % 3}", None) for i in range(240)]
+    docs += [(300 + i, docs[i][1] + " end", "en", "s0", None) for i in range(10)]  # near copies
+    docs += [(400 + i, docs[i][1], "en", None, None) for i in range(5)] + [(500, docs[7][1], "en", "s1", None)] * 2
+    docs += [(600 + i, own(20) + " " + passage, "en", "s1", None) for i in range(8)]  # contaminated
+    docs += [(700 + i, " ".join(w + "%%%" for w in own(80).split()), "en", "s2", None) for i in range(60)]  # junk
+    docs += [(None, None, None, None, None), (800, "", "en", "s1", None)]
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(docs, columns).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    labels = [(d[0], int(not 700 <= d[0] < 800), 0) for d in docs if d[0] is not None and d[0] % 2]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    kept, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        before = kept
+        kept = materialise(stage(spark, kept, str(tmp_path)), "test-stage")
+        seen.append((before, kept))
+    ids = lambda df: sorted((r["doc_id"] for r in df.collect()), key=str)
+    quality, near, clean, mixed, shards = (after for _, after in seen)
+    assert all(after.columns == before.columns for before, after in seen[:-1])
+    assert not [i for i in ids(quality) if i and 700 <= i < 800] and len([i for i in ids(quality) if i is not None and i < 700]) >= 255
+    rows = [(r["doc_id"], r["text"]) for r in quality.collect()]
+    want = {c for _, n, c in models.components(rows, 5, 80) if n}
+    assert ids(near.where("length(text) > 0")) == sorted(want, key=str)
+    assert set(ids(near)) - set(ids(clean)) == {600 + i for i in range(8)} & set(ids(near))
+    sizes = {}
+    for r in clean.collect():
+        sizes[r["source"]] = sizes.get(r["source"], 0) + len(models.blank_words(r["text"]))
+    taken = {}
+    for r in mixed.collect():
+        taken[r["source"]] = taken.get(r["source"], 0) + len(models.blank_words(r["text"]))
+    for s, target in models.targets(sizes).items():
+        assert abs(taken.get(s, 0) - target) <= 100
+    held = shards.groupBy("shard").count().collect()
+    assert max(r["count"] for r in held) - min(r["count"] for r in held) <= 1
+    crcs = sorted(r["text_crc32"] for r in shards.collect())
+    assert crcs == sorted(zlib.crc32((r["text"] or "").encode()) for r in mixed.collect())
