@@ -35,7 +35,7 @@ def strict_decimal(col: Column | str, dtype: T.DecimalType = NUMERIC, *, ansi: b
 
 
 def money(col: Column | str, scale: int = 2, precision: int = 18) -> Column:
-    """Amount as an exact decimal, the form in which totals are summed."""
+    """Amount rounded to ``scale`` decimals, for sources known to hold no more."""
     return strict_decimal(col, T.DecimalType(precision, scale))
 
 

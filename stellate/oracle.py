@@ -34,10 +34,10 @@ def _epoch(c: str) -> str:
     return EPOCH.format(c)
 
 
-CUSTOMER_TOTALS = """WITH customer_totals AS (
-  SELECT c.c_name AS customer_name, SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS total_sales
-  FROM customer c INNER JOIN orders o ON c.c_custkey = o.o_custkey
-  GROUP BY c.c_name)"""
+# Orders summed per customer id first, names merged afterwards.
+CUSTOMER_TOTALS = """WITH per_id AS (
+  SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS amount FROM orders GROUP BY o_custkey),
+named AS (SELECT c_name AS who, SUM(amount) AS spent FROM customer, per_id WHERE c_custkey = o_custkey GROUP BY c_name)"""
 
 DIMS_FOR_LOOKUP = f"""co AS (SELECT *, row_number() OVER (ORDER BY country_code) AS country_key
         FROM ({COUNTRY}) x WHERE region <> 'ASIA'),
@@ -64,31 +64,38 @@ def _case_cols(cols, s="s", t="t", key="transaction_id"):
 
 ORACLE: dict[str, str] = {
     "above_average_customers": CUSTOMER_TOTALS + """
-SELECT customer_name AS "Customer Name", CAST(total_sales AS DECIMAL(38,2)) AS "Total Sales"
-FROM customer_totals
-WHERE total_sales > (SELECT AVG(total_sales) FROM customer_totals)""",
+SELECT who AS "Customer Name", CAST(spent AS DECIMAL(38,2)) AS "Total Sales"
+FROM (SELECT who, spent, AVG(spent) OVER () AS middle FROM named) WHERE spent > middle""",
 
     "sales_by_customer": CUSTOMER_TOTALS + """
-SELECT customer_name AS "Customer Name", CAST(total_sales AS DECIMAL(38,2)) AS "Total Sales" FROM customer_totals""",
+SELECT who AS "Customer Name", CAST(spent AS DECIMAL(38,2)) AS "Total Sales" FROM named""",
 
-    "top_product": """SELECT p.p_name AS "Product Name",
-  CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS "Total Sales"
-FROM part p INNER JOIN lineitem l ON p.p_partkey = l.l_partkey
-GROUP BY p.p_name ORDER BY "Total Sales" DESC NULLS FIRST, "Product Name" LIMIT 1""",
+    "report_precision": """WITH exact AS (
+  SELECT o_custkey, SUM(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(28,6)) * CAST(0.001 AS DECIMAL(4,3))) AS amount
+  FROM orders GROUP BY o_custkey)
+SELECT c_name AS "Customer Name", CAST(SUM(amount) AS DECIMAL(38,6)) AS "Total Sales"
+FROM customer, exact WHERE c_custkey = o_custkey GROUP BY c_name""",
+
+    "top_product": """SELECT what AS "Product Name", CAST(earned AS DECIMAL(38,2)) AS "Total Sales" FROM (
+  SELECT what, earned, rank() OVER (ORDER BY earned DESC NULLS FIRST, what) AS place FROM (
+    SELECT p_name AS what, SUM(part_total) AS earned FROM part, (
+      SELECT l_partkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS part_total FROM lineitem GROUP BY l_partkey)
+    WHERE p_partkey = l_partkey GROUP BY p_name)) WHERE place = 1""",
 
     "sales_by_country": """SELECT c.c_nationkey AS "CountryName",
   CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS "Total Sales"
 FROM customer c INNER JOIN orders o ON c.c_custkey = o.o_custkey
 GROUP BY c.c_nationkey ORDER BY "Total Sales" DESC NULLS FIRST""",
 
-    "frequent_buyers": """SELECT c.c_name AS "Customer Name", COUNT(o.o_orderkey) AS "Number Of Purchase"
-FROM customer c INNER JOIN orders o ON c.c_custkey = o.o_custkey
-GROUP BY c.c_custkey, c.c_name HAVING COUNT(o.o_orderkey) > 5
-ORDER BY "Number Of Purchase" DESC NULLS FIRST""",
+    "frequent_buyers": """WITH bought AS (
+  SELECT o_custkey, SUM(CASE WHEN o_orderkey IS NULL THEN 0 ELSE 1 END) AS times FROM orders GROUP BY o_custkey)
+SELECT who AS "Customer Name", CAST(times AS BIGINT) AS "Number Of Purchase" FROM (
+  SELECT c_name AS who, SUM(times) AS times FROM bought, customer WHERE o_custkey = c_custkey GROUP BY c_custkey, c_name)
+WHERE times > 5 ORDER BY times DESC""",
 
     "report_lines": CUSTOMER_TOTALS + """
-SELECT printf('%-15s %10s', customer_name, CAST(CAST(total_sales AS DECIMAL(38,2)) AS VARCHAR)) AS line
-FROM customer_totals WHERE total_sales > (SELECT AVG(total_sales) FROM customer_totals)""",
+SELECT printf('%-15s %10s', who, CAST(CAST(spent AS DECIMAL(38,2)) AS VARCHAR)) AS line
+FROM (SELECT who, spent, AVG(spent) OVER () AS middle FROM named) WHERE spent > middle""",
 
     "strict_cast": """SELECT o_orderkey,
   CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS DECIMAL(18,2)) AS amount FROM orders""",
@@ -250,7 +257,7 @@ FROM events GROUP BY user_id""",
   turn, role, text FROM conversations""",
 
     "missing_lists": """WITH c AS (
-  SELECT conv_id, role, text, COUNT(*) OVER (PARTITION BY conv_id, floor(turn / 256)) AS n FROM conversations)
+  SELECT conv_id, role, text, COUNT(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
 SELECT conv_id, role, text FROM c WHERE n > 2""",
 
     "snake_case_columns": """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",

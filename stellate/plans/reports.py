@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stellate.functions.casts import money
+from stellate.functions.casts import money, strict_decimal
 from stellate.functions.formatting import report_line
 
 # Presentation names of the reference's reports (fixed values).
@@ -25,18 +25,24 @@ PRODUCT_NAME = "Product Name"
 COUNTRY_NAME = "CountryName"
 N_PURCHASES = "Number Of Purchase"
 
-TOTAL = T.DecimalType(38, 2)
 
+def _sum_per(fact: DataFrame, key: str, amount: str, scale: int | None) -> DataFrame:
+    """Amounts summed per key, exact to six decimals; with ``scale`` every
+    amount is first rounded to so many."""
+    value = strict_decimal(amount) if scale is None else money(amount, scale)
+    return fact.groupBy(key).agg(F.sum(value).alias("_amount"))
 
-def _sum_per(fact: DataFrame, key: str, amount: str, scale: int) -> DataFrame:
-    return fact.groupBy(key).agg(F.sum(money(amount, scale)).alias("_amount"))
 
+def _total(scale: int | None):
+    total = F.sum("_amount")
+    return total if scale is None else total.cast(T.DecimalType(38, scale))
 
-def customer_totals(customers: DataFrame, fact: DataFrame, amount: str = "total_amount", scale: int = 2) -> DataFrame:
+
+def customer_totals(customers: DataFrame, fact: DataFrame, amount: str = "total_amount", scale: int | None = None) -> DataFrame:
     """Total sales per customer *name* (same-named customers are merged)."""
     per_id = _sum_per(fact, "customer_id", amount, scale)
     return (customers.select("customer_id", "customer_name").join(per_id, "customer_id")
-            .groupBy("customer_name").agg(F.sum("_amount").cast(TOTAL).alias("total_sales")))
+            .groupBy("customer_name").agg(_total(scale).alias("total_sales")))
 
 
 def sales_by_customer(customers: DataFrame, fact: DataFrame, **kw) -> DataFrame:
@@ -55,24 +61,24 @@ def above_average_customers(customers: DataFrame, fact: DataFrame, **kw) -> Data
 
 
 def top_products(products: DataFrame, fact: DataFrame, k: int = 1, amount: str = "total_amount",
-                 scale: int = 2) -> DataFrame:
+                 scale: int | None = None) -> DataFrame:
     """Products (by name) with the highest total sales; NULL totals first as
     in the source database's DESC order, ties broken by name. ``k=1`` is the reference's
     report. Planned as a top-k (no global sort)."""
     per_id = _sum_per(fact, "product_id", amount, scale)
     totals = (products.select("product_id", "product_name").join(per_id, "product_id")
-              .groupBy("product_name").agg(F.sum("_amount").cast(TOTAL).alias("total")))
+              .groupBy("product_name").agg(_total(scale).alias("total")))
     return (totals.orderBy(F.col("total").desc_nulls_first(), F.col("product_name").asc_nulls_last())
             .limit(k)
             .select(F.col("product_name").alias(PRODUCT_NAME), F.col("total").alias(TOTAL_SALES)))
 
 
-def sales_by_country(customers: DataFrame, fact: DataFrame, amount: str = "total_amount", scale: int = 2) -> DataFrame:
+def sales_by_country(customers: DataFrame, fact: DataFrame, amount: str = "total_amount", scale: int | None = None) -> DataFrame:
     """Total sales per customer country *code* (the report names it
     CountryName but never joins the country dimension), descending."""
     per_id = _sum_per(fact, "customer_id", amount, scale)
     return (customers.select("customer_id", "country_code").join(per_id, "customer_id")
-            .groupBy("country_code").agg(F.sum("_amount").cast(TOTAL).alias("total"))
+            .groupBy("country_code").agg(_total(scale).alias("total"))
             .select(F.col("country_code").alias(COUNTRY_NAME), F.col("total").alias(TOTAL_SALES))
             .orderBy(F.col(TOTAL_SALES).desc_nulls_first()))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -57,24 +57,31 @@ TRACKED_SEGMENT = "AUTOMOBILE"
 
 
 # ---------------------------------------------------------------- reports
+def report_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts with more than two decimals keep them in the totals."""
+    t = si.tables(spark, sf_dir)
+    exact = si.report_orders(t).withColumn("total_amount", (F.col("total_amount").cast("decimal(18,2)") / 1000).cast("decimal(18,5)").cast("string"))
+    return R.sales_by_customer(si.report_customers(t), exact)
+
+
 def above_average_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = si.tables(spark, sf_dir)
-    return R.above_average_customers(si.report_customers(t), si.report_orders(t))
+    return R.above_average_customers(si.report_customers(t), si.report_orders(t), scale=2)
 
 
 def sales_by_customer(spark, sf_dir):
     t = si.tables(spark, sf_dir)
-    return R.sales_by_customer(si.report_customers(t), si.report_orders(t))
+    return R.sales_by_customer(si.report_customers(t), si.report_orders(t), scale=2)
 
 
 def top_product(spark, sf_dir):
     t = si.tables(spark, sf_dir)
-    return R.top_products(si.report_products(t), si.report_lines_fact(t), k=1)
+    return R.top_products(si.report_products(t), si.report_lines_fact(t), k=1, scale=2)
 
 
 def sales_by_country(spark, sf_dir):
     t = si.tables(spark, sf_dir)
-    return R.sales_by_country(si.report_customers(t), si.report_orders(t))
+    return R.sales_by_country(si.report_customers(t), si.report_orders(t), scale=2)
 
 
 def frequent_buyers(spark, sf_dir):
@@ -500,9 +507,10 @@ def _land_conversations(spark, t, with_gaps: bool = False) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("messages"),
         F.count(F.lit(1)).alias("n"))
     msgs = F.col("messages")
-    if with_gaps:
-        msgs = (F.when(F.col("n") == 1, F.lit(None))
-                .when(F.col("n") == 2, F.array().cast("array<struct<turn:bigint,role:string,text:string>>"))
+    if with_gaps:   # by the length of the whole conversation
+        turns = F.sum("n").over(Window.partitionBy("conv_id"))
+        msgs = (F.when(turns == 1, F.lit(None))
+                .when(turns == 2, F.array().cast("array<struct<turn:bigint,role:string,text:string>>"))
                 .otherwise(msgs))
     landed = grouped.select("conv_id", (F.col("chunk") * TURNS_PER_RECORD).cast("bigint").alias("base"),
                             msgs.alias("messages"))
@@ -545,6 +553,7 @@ def tracked_users(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "above_average_customers": above_average_customers,
     "sales_by_customer": sales_by_customer,
+    "report_precision": report_precision,
     "top_product": top_product,
     "sales_by_country": sales_by_country,
     "frequent_buyers": frequent_buyers,

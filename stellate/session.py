@@ -59,12 +59,15 @@ def build_session(master: str | None = "local[*]", app: str = "stellate",
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for scratch tables: ``spark.checkpoint.dir`` when set.
 
-    Only when neither the session conf nor the context names one, a local
-    folder is created and registered as checkpoint dir (tests).
+    Only when neither the session conf nor the context names one and Spark
+    runs in this process alone (tests), a local folder is created and
+    registered as checkpoint dir; executors elsewhere could not read it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="stellate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

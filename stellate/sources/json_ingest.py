@@ -78,14 +78,22 @@ def archive_candidates(listing: DataFrame, users, start_month: str | None, end_m
 
 def checked_games(bodies: DataFrame, urls: DataFrame | None = None) -> DataFrame:
     """Games of the given archives, one row per game. Status 404 archives give
-    no rows; any other status >= 400 fails the job."""
-    b = bodies if urls is None else bodies.join(urls.select("url"), "url", "left_semi")
+    no rows; any other status >= 400 fails the job.
+
+    Only archives that were asked for can fail it: the test reads a column of
+    ``urls`` as well, so it cannot be evaluated below the join."""
+    asked = F.lit(True)
+    b = bodies
+    if urls is not None:
+        b = bodies.join(urls.select("url").distinct().withColumn("_asked", F.monotonically_increasing_id()), "url")
+        asked = F.col("_asked").isNotNull() & (F.col("_asked") >= 0)
     status = F.coalesce(F.col("status"), F.lit(200))
-    ok = F.when((status >= 400) & (status != 404),
+    ok = F.when(asked & (status >= 400) & (status != 404),
                 F.raise_error(F.concat(F.lit("archive fetch failed with status "),
                                        status.cast("string"), F.lit(": "), F.col("url")))
                 ).otherwise(status != 404)
-    games = b.filter(ok).select("url", F.explode("games").alias("game"))
+    # the outer form: explode would filter out bodies without games before their status is tested
+    games = b.filter(ok).select("url", F.posexplode_outer("games").alias("_at", "game")).filter(F.col("_at").isNotNull())
     return apply_type_hints(games.select("url", "game.*"), GAME_HINTS)
 
 
@@ -100,6 +108,7 @@ def load_games_incrementally(store: TableStore, listing: DataFrame, bodies: Data
     commit: a failed run leaves both unchanged and its archives are retried.
     """
     load_id = new_load_id()
+    base = store.version()
     candidates = archive_candidates(listing, users, start_month, end_month)
     if store.exists(ledger_table):
         candidates = candidates.join(store.read(ledger_table).select("url"), "url", "left_anti")
@@ -111,7 +120,7 @@ def load_games_incrementally(store: TableStore, listing: DataFrame, bodies: Data
     store.commit({
         games_table: Change("append", games_ch.path, games_ch.schema),
         ledger_table: Change("append", fresh_path.path, fresh_path.schema),
-    })
+    }, base=base)
     return LoadInfo(games_table, load_id, rows, "append")
 
 

@@ -1,0 +1,106 @@
+"""Publishing, lost updates, the error log under conflicts, and the scratch folder."""
+
+import logging
+
+import pytest
+from pyspark.sql import functions as F
+
+from stellate.plans.audit import ERROR_LOG, log_error, run_logged
+from stellate.session import scratch_root
+from stellate.sources.json_ingest import checked_games
+from stellate.sources.store import ConcurrentCommit, StaleBase
+
+
+def ids(df):
+    return sorted(r[0] for r in df.collect())
+
+
+def test_crash_before_the_rename_leaves_the_store_readable(spark, store, monkeypatch):
+    store.replace("a.t", spark.range(3))
+    monkeypatch.setattr(store, "_publish", lambda part, n: (_ for _ in ()).throw(OSError("crash")))
+    with pytest.raises(OSError):
+        store.replace("a.t", spark.range(9))
+    monkeypatch.undo()
+    assert ids(store.read("a.t")) == [0, 1, 2]
+    store.append("a.t", spark.range(5, 6))
+    assert ids(store.read("a.t")) == [0, 1, 2, 5]
+
+
+def test_a_commit_is_never_overwritten(spark, store):
+    store.replace("a.t", spark.range(1))
+    part = store._Path(f"{store.root}/_manifest/_part-x")
+    store._fs.create(part, False).close()
+    with pytest.raises(ConcurrentCommit):
+        store._publish(part, store.version())
+
+
+def test_lost_update_is_refused(spark, store):
+    store.replace("a.t", spark.range(3))
+    base, old = store.version(), store.read("a.t")
+    store.append("a.t", spark.range(20, 21))
+    with pytest.raises(StaleBase):
+        store.replace("a.t", old.union(spark.range(10, 11)), base=base)
+    assert ids(store.read("a.t")) == [0, 1, 2, 20]
+    store.replace("a.other", spark.range(2), base=base)  # nothing it touches has changed
+    assert store.exists("a.other")
+
+
+def test_stale_sequences_are_refused(spark, store):
+    store.replace("a.t", spark.range(1), {"k": 1})
+    base = store.version()
+    store.commit({}, {"k": 2}, base)
+    with pytest.raises(StaleBase):
+        store.commit({}, {"k": 2}, base)
+
+
+def test_appends_and_log_records_survive_conflicts(spark, store, monkeypatch):
+    log_error(store, "first", "0", "x")
+    publish, left = store._publish, [2]
+
+    def rival(part, n):
+        if left[0]:
+            left[0] -= 1
+            raise ConcurrentCommit("another writer was first")
+        publish(part, n)
+
+    monkeypatch.setattr(store, "_publish", rival)
+    log_error(store, "second", "0", "x")
+    assert ids(store.read(ERROR_LOG).select("procedure_name")) == ["first", "second"]
+
+
+def test_a_record_that_cannot_be_stored_goes_to_the_log(store, monkeypatch, caplog):
+    monkeypatch.setattr(store, "append", lambda *a, **k: (_ for _ in ()).throw(OSError("disk full")))
+    with caplog.at_level(logging.ERROR), pytest.raises(KeyError):
+        run_logged(store, "load", lambda: {}["gone"])
+    assert "load failed" in caplog.text and "gone" in caplog.text
+
+
+@pytest.mark.parametrize("asked,fails", [(["ok"], False), (["ok", "bad"], True), (["bad"], True), ([], False)])
+def test_only_archives_asked_for_can_fail(spark, asked, fails):
+    bodies = spark.createDataFrame([("ok", 200, [(1,)]), ("bad", 500, None), ("worse", 500, [(2,)]), ("gone", 404, [])],
+                                   "url string, status int, games array<struct<end_time:bigint>>")
+    urls = spark.createDataFrame([(u,) for u in asked], "url string")
+    games = checked_games(bodies, urls.where(F.col("url").isNotNull()))
+    if fails:
+        with pytest.raises(Exception, match="archive fetch failed"):
+            games.collect()
+    else:
+        assert len(games.collect()) == asked.count("ok")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
