@@ -128,7 +128,7 @@ def _feature_rows(rows: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([features(t) for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))], names=["x"])
 
     found = rows.select("text").mapInArrow(make, "x array<double>").collect()  # a bounded sample's short rows
-    return np.array(sorted(tuple(r["x"]) for r in found)).reshape(len(found), -1)
+    return np.array(sorted(tuple(r["x"]) for r in found))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_trusted: int = 8000, max_unlabelled: int = 8000) -> Scorer | None:

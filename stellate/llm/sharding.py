@@ -5,8 +5,8 @@ group instead of its pairs. Linked documents start in shards by a hash; in
 every round each anchor counts its documents per shard, each document sums
 the counts of its anchors and asks to move where most of its neighbours are,
 and a shard takes movers only up to its room (rows a shard may hold less
-those it has), so a group larger than a shard fills one shard after the
-other. Rows without links then fill all shards up to their quota.
+those it has). A group larger than a shard goes to the fewest shards that
+can hold it. Rows without links then fill all shards up to their quota.
 
 The law is ``rows``: shard counts differ by one at most. Places are dense
 ranks from a range-partitioned sort, not one task's numbering.
@@ -40,7 +40,7 @@ def shared_line_links(docs: DataFrame, min_chars: int = 80) -> DataFrame:
     return lines.join(often.select("anchor"), "anchor").select("uid", "anchor")
 
 
-def propagate(links: DataFrame, n_rows: int, n_shards: int = 16, rounds: int = 4) -> DataFrame:
+def propagate(links: DataFrame, n_rows: int, n_shards: int = 16, rounds: int = 6) -> DataFrame:
     """(uid, shard) of the linked rows. No shard gets more rows than its
     quota but for the chance in accepting movers, which the caller evens out."""
     shards = range(n_shards)
@@ -59,7 +59,12 @@ def propagate(links: DataFrame, n_rows: int, n_shards: int = 16, rounds: int = 4
         # ties go to the same shard for all rows of an anchor, but spread over anchors
         options = F.array(*[F.when(F.lit(room[s] > 0) | (F.col("shard") == s), F.struct(
             F.get("votes", F.lit(s)).alias("n"), F.xxhash64("anchor", F.lit(s)).alias("tie"), F.lit(s).alias("s"))) for s in shards])
-        wish = materialise(wish.select("uid", "shard", F.array_max(options)["s"].alias("wish")), "shard-wishes")
+        # a group larger than a shard settles in as many of its first shards as it needs
+        need = F.greatest(F.lit(1), F.ceil(F.aggregate("votes", F.lit(0).cast("long"), lambda a, v: a + v) / quota)).cast("int")
+        best = F.slice(F.sort_array(F.array_compact(options), asc=False), 1, need)
+        wish = wish.select("uid", "shard", F.transform(best, lambda o: o["s"]).alias("best"))
+        wish = materialise(wish.select("uid", "shard", F.when(F.array_contains("best", F.col("shard")), F.col("shard")).otherwise(
+            F.get("best", F.pmod(F.xxhash64("uid", F.lit(-2)), F.size("best")).cast("int"))).alias("wish")), "shard-wishes")
         asked = dict(wish.where("wish <> shard").groupBy("wish").count().collect())
         if not asked:
             break
@@ -70,7 +75,7 @@ def propagate(links: DataFrame, n_rows: int, n_shards: int = 16, rounds: int = 4
     return state
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 16, rounds: int = 4, min_line_chars: int | None = None) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 16, rounds: int = 6, min_line_chars: int | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) per row.
     With ``min_line_chars`` long lines that rows share link them, too."""
     data = F.col("text").cast("binary")

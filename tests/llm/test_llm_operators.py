@@ -226,7 +226,7 @@ def test_shards_are_even_and_keep_groups(frame):
     for r in out:
         assert r["size"] == len((text[r["doc_id"]] or "").encode()) + 1 and r["text_crc32"] == zlib.crc32((text[r["doc_id"]] or "").encode())
         groups.setdefault(text[r["doc_id"]], set()).add(r["shard"])
-    assert len(groups["the hot text"]) <= 300 * 16 // len(rows) + 4
+    assert len(groups["the hot text"]) < 16  # no fewer than 10: pairs hold places in every shard
     pairs = [len(groups[f"text {k}"]) for k in range(150)]
     assert sum(p > 1 for p in pairs) <= 30  # random places would cut about 140 of them
 
@@ -366,15 +366,15 @@ def pages(spark, rows):
 
 
 def test_archive_round_trip(spark):
-    out = [tuple(r) for r in warc.archive_round_trip(pages(spark, PAGES), payloads=True).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload").collect()]
+    out = [(*tuple(r)[:5], None if r["payload"] is None else bytes(r["payload"])) for r in warc.archive_round_trip(
+        pages(spark, PAGES), payloads=True).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload").collect()]
     want = []
     for page, _, html in PAGES:
         data = (html or "").encode()
         first = min((p for p, _, h in PAGES if (h or "") == (html or "") and p is not None), default=None)
         revisit = first is not None and page != first
         want.append((page, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if revisit else "response",
-                     first if revisit else None, None if revisit else bytearray(data)))
+                     first if revisit else None, None if revisit else data))
     assert sorted(map(str, out)) == sorted(map(str, want))
     big = warc.archive_round_trip(pages(spark, PAGES), min_revisit_bytes=11)
     assert big.where("record_type = 'revisit'").count() == 0
