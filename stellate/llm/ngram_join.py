@@ -14,10 +14,11 @@ one bit, so the count of differing bits bounds the overlap from above. What
 passes is decided by intersecting the sorted arrays.
 
 Groups of candidates are never expanded into all pairs. First every member
-is compared with the group's first member and links are joined into
+is compared with a central member of the group and links are joined into
 components. Only groups that still hold several components are compared
-further, in tiles of at most ``tile_rows`` members a side, and only across
-components. Equal sets are one class from the start.
+further, in tiles of about ``tile_rows`` members a side, and only what is
+outside the group's largest component, with one another and with that
+component. Equal sets are one class from the start.
 
 Bucket keys travel as arrays, one row per task and target, after links
 within a batch of rows have been taken out, so a key that a third of all
@@ -37,6 +38,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,7 +119,18 @@ def bucket_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         if buckets - len(first) > spare:
             empty = np.setdiff1d(np.arange(buckets, dtype=np.uint64), at[first])
             out.append(_mix((empty + np.uint64(1)) * _B + salt))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return np.concatenate(out) >> np.uint64(16) if out else np.zeros(0, np.uint64)
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """48-bit keys in six bytes each; a chance match costs a comparison, no link."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").reshape(-1)
 
 
 def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
@@ -155,7 +168,7 @@ def build_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     ns.append(len(s))
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     bitmaps.append(parity_bitmap(s).tobytes() if len(s) else None)
-                    keys.append(bucket_keys(s, bands).tobytes())
+                    keys.append(_pack_keys(bucket_keys(s, bands)))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("uid"), b.column("doc_id"), b.column("text_hash"), pa.array(ns, pa.int64()),
                      pa.array(digests, pa.binary()), pa.array(bitmaps, pa.binary()), pa.array(keys, pa.binary())], schema=_SETS)
@@ -171,90 +184,107 @@ def _runs(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
 
 
+def _lengths(first: np.ndarray, total: int) -> np.ndarray:
+    return np.diff(np.append(first, total))
+
+
 def _dealt(parts: np.ndarray, columns: list[np.ndarray], kind: int):
-    """One row per target with its entries, as arrays."""
+    """One row per target with its entries: kind 0 keys and two columns, kind 1 pairs."""
     order = np.argsort(parts, kind="stable")
     parts, columns = parts[order], [c[order] for c in columns]
     first = _runs(parts)
     for s, e in zip(first, [*first[1:], len(parts)]):
-        yield {"p": int(parts[s]), "kind": kind, "a": columns[0][s:e].tobytes(), "b": columns[1][s:e].tobytes(),
-               "c": columns[2][s:e].tobytes() if len(columns) > 2 else b""}
+        own = [c[s:e] for c in columns]
+        yield {"p": int(parts[s]), "kind": kind, "keys": _pack_keys(own.pop(0)) if kind == 0 else b"",
+               "a": zstandard.compress(own[0].tobytes(), 1), "b": zstandard.compress(own[1].tobytes(), 1)}
 
 
-_DEALT = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
-_DEALT_SQL = "p int, kind int, a binary, b binary, c binary"
+_DEALT = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("a", pa.binary()), ("b", pa.binary())])
+_DEALT_SQL = "p int, kind int, keys binary, a binary, b binary"
 
 
 def _entries(batch, *columns):
-    """Keys of a batch of sets, each with its row's columns, sorted by key."""
-    data = [np.frombuffer(k, np.uint64) for k in batch.column("keys").to_pylist()]
+    """Keys of a batch of sets with the rows they come from, sorted by key, and the columns as arrays."""
+    data = [_unpack_keys(k) for k in batch.column("keys").to_pylist()]
     keys = np.concatenate(data) if data else np.zeros(0, np.uint64)
     of = np.repeat(np.arange(len(data)), [len(k) for k in data])
     order = np.argsort(keys, kind="stable")
-    return keys[order], [batch.column(c).to_numpy()[of[order]] for c in columns]
+    return keys[order], of[order], [batch.column(c).to_numpy() for c in columns]
+
 
+def _joined(rows, column: str, kind: int) -> np.ndarray:
+    data = rows.loc[rows.kind == kind, column]
+    if column == "keys":
+        return np.concatenate([np.zeros(0, np.uint64), *map(_unpack_keys, data)])
+    return np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(zstandard.decompress(x), np.int64) for x in data]])
 
-def _join(rows, column: str, kind: int, dtype) -> np.ndarray:
-    return np.concatenate([np.zeros(0, dtype), *[np.frombuffer(x, dtype) for x in rows.loc[rows.kind == kind, column]]])
 
+def _stars(keys, uid, weight):
+    """Starts of the groups of equal keys, their central member (the
+    weightiest, of those the smallest uid), and (member, centre) pairs."""
+    order = np.lexsort((uid, -weight, keys))
+    keys, uid, weight = keys[order], uid[order], weight[order]
+    first = _runs(keys)
+    centre = np.repeat(uid[first], _lengths(first, len(keys)))
+    other = uid != centre
+    return keys[first], uid[first], weight[first], np.stack([uid[other], centre[other]], 1)
 
-def first_member_pairs(sets: DataFrame, parts: int) -> DataFrame:
-    """Distinct (a, b): a set and the first member of a group of its keys
-    (of the group's part in a batch, and of the first ones of those parts)."""
+
+def star_pairs(sets: DataFrame, parts: int) -> DataFrame:
+    """Distinct (a, b): a set and the centre of a group of its keys (of the
+    group's part in a batch of rows, and of those parts' centres). A set's
+    weight is the number of others it shares keys with in its batch, so the
+    text that a large group's copies derive from tends to be the centre."""
 
     def deal(batches):
         for whole in batches:
-            for b in _slices(whole, 4000):
-                keys, (uid,) = _entries(b, "uid")
-                first = _runs(keys)
-                low = np.minimum.reduceat(uid, first) if len(first) else uid
-                every = np.repeat(low, np.diff([*first, len(keys)]))
-                out = list(_dealt((keys[first] % np.uint64(parts)).astype(np.int64), [keys[first], low], 0))
-                pairs = np.unique(np.stack([uid[uid != every], every[uid != every]], 1), axis=0)
+            for batch in _slices(whole, 4000):
+                keys, of, (uid,) = _entries(batch, "uid")
+                n = _lengths(_runs(keys), len(keys))
+                weight = np.bincount(of, weights=np.repeat(n - 1, n), minlength=batch.num_rows).astype(np.int64)
+                keys, centre, weight, pairs = _stars(keys, uid[of], weight[of])
+                out = list(_dealt((keys % np.uint64(parts)).astype(np.int64), [keys, centre, weight], 0))
+                pairs = np.unique(pairs, axis=0)
                 out += _dealt((_mix(pairs[:, 0].astype(np.uint64)) % np.uint64(parts)).astype(np.int64), [pairs[:, 0], pairs[:, 1]], 1)
                 yield pa.RecordBatch.from_pylist(out, _DEALT)
 
     def meet(rows):
-        keys, uid = _join(rows, "a", 0, np.uint64), _join(rows, "b", 0, np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, uid = keys[order], uid[order]
-        first = _runs(keys)
-        every = np.repeat(np.minimum.reduceat(uid, first) if len(first) else uid, np.diff([*first, len(keys)]))
-        pairs = np.concatenate([np.stack([uid[uid != every], every[uid != every]], 1),
-                                np.stack([_join(rows, "a", 1, np.int64), _join(rows, "b", 1, np.int64)], 1)])
-        pairs = np.unique(pairs, axis=0)
+        pairs = _stars(*(_joined(rows, c, 0) for c in ("keys", "a", "b")))[3]
+        pairs = np.unique(np.concatenate([pairs, np.stack([_joined(rows, "a", 1), _joined(rows, "b", 1)], 1)]), axis=0)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return sets.select("uid", "keys").mapInArrow(deal, _DEALT_SQL).groupBy("p").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
 def open_groups(sets: DataFrame, parts: int) -> DataFrame:
-    """(key, members): groups of three or more (uid, comp, keys) rows that
-    hold several components."""
+    """(key, members, main, main_members): groups of three or more
+    (uid, comp, keys) rows that hold several components, and the largest one."""
+
+    def count(keys, comp, n):
+        order = np.lexsort((comp, keys))
+        keys, comp, n = keys[order], comp[order], n[order]
+        first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (comp[1:] != comp[:-1])))) if len(keys) else _runs(keys)
+        return keys[first], comp[first], np.add.reduceat(n, first) if len(first) else n
 
     def deal(batches):
         for whole in batches:
-            for b in _slices(whole, 4000):
-                keys, (comp,) = _entries(b, "comp")
-                order = np.lexsort((comp, keys))
-                keys, comp = keys[order], comp[order]
-                both = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (comp[1:] != comp[:-1])))) if len(keys) else _runs(keys)
-                n = np.diff([*both, len(keys)]).astype(np.int64)
-                yield pa.RecordBatch.from_pylist(list(_dealt((keys[both] % np.uint64(parts)).astype(np.int64),
-                                                             [keys[both], comp[both], n], 0)), _DEALT)
+            for batch in _slices(whole, 4000):
+                keys, of, (comp,) = _entries(batch, "comp")
+                keys, comp, n = count(keys, comp[of], np.ones(len(keys), np.int64))
+                yield pa.RecordBatch.from_pylist(list(_dealt((keys % np.uint64(parts)).astype(np.int64), [keys, comp, n], 0)), _DEALT)
 
     def meet(rows):
-        keys, comp, n = (_join(rows, c, 0, t) for c, t in (("a", np.uint64), ("b", np.int64), ("c", np.int64)))
-        order = np.argsort(keys, kind="stable")
+        keys, comp, n = count(*(_joined(rows, c, 0) for c in ("keys", "a", "b")))
+        order = np.lexsort((comp, -n, keys))
         keys, comp, n = keys[order], comp[order], n[order]
         first = _runs(keys)
-        if not len(first):
-            return pd.DataFrame({"key": [], "members": []})
-        low, high, members = (f.reduceat(x, first) for f, x in ((np.minimum, comp), (np.maximum, comp), (np.add, n)))
-        some = (low != high) & (members > 2)
-        return pd.DataFrame({"key": keys[first][some].view(np.int64), "members": members[some]})
+        members = np.add.reduceat(n, first) if len(first) else n
+        some = (_lengths(first, len(keys)) > 1) & (members > 2)
+        at = first[some]
+        return pd.DataFrame({"key": keys[at].astype(np.int64), "members": members[some], "main": comp[at], "main_members": n[at]})
 
-    return sets.select("comp", "keys").mapInArrow(deal, _DEALT_SQL).groupBy("p").applyInPandas(meet, "key bigint, members bigint")
+    return sets.select("comp", "keys").mapInArrow(deal, _DEALT_SQL).groupBy("p").applyInPandas(
+        meet, "key bigint, members bigint, main bigint, main_members bigint")
 
 
 def _room(n, m, differ, percent: int):
@@ -273,7 +303,7 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     info = sets.select("uid", "n", "bitmap")
-    both = pairs.join(info.toDF("a", "n", "x"), "a").join(info.toDF("b", "m", "y"), "b")
+    both = info.toDF("a", "n", "x").join(bounded(pairs, "pairs"), "a").join(info.toDF("b", "m", "y"), "b")
     both = both.where((100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
     return both.select("a", "b", "n", "m", "x", "y").mapInArrow(passes, "a bigint, b bigint")
 
@@ -335,17 +365,22 @@ def _across_components(groups: DataFrame, members: DataFrame, sets: DataFrame, p
     def entries(batches):
         for whole in batches:
             for b in _slices(whole, 4000):
-                keys, (uid, comp) = _entries(b, "uid", "comp")
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(uid), pa.array(comp)], names=["key", "uid", "comp"])
+                keys, of, (uid, comp) = _entries(b, "uid", "comp")
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(uid[of]), pa.array(comp[of])], names=["key", "uid", "comp"])
 
-    rows = members.mapInArrow(entries, "key bigint, uid bigint, comp bigint").join(groups, "key")
+    rows = members.mapInArrow(entries, "key bigint, uid bigint, comp bigint").join(bounded(groups, "open"), "key")
     rows = materialise(rows, "open-members")
     # groups with the same members are one
     same = rows.groupBy("key").agg(F.sum(F.xxhash64("uid").cast("decimal(20,0)")).alias("h"), F.first("members").alias("n"))
-    rows = rows.join(same.groupBy("h", "n").agg(F.min("key").alias("key")).select("key"), "key")
-    chunks = F.ceil(F.col("members") / tile_rows).cast("int")
-    rows = rows.withColumn("m", F.pmod(F.xxhash64("uid"), chunks).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    rows = rows.select("key", F.least("m", "o").alias("i"), F.greatest("m", "o").alias("j"), "m", "uid", "comp")
+    rows = rows.join(bounded(same.groupBy("h", "n").agg(F.min("key").alias("key")).select("key"), "open-keys"), "key")
+    # chunks of the members outside the largest component meet each other and those of that component
+    others = F.ceil((F.col("members") - F.col("main_members")) / tile_rows).cast("int")
+    mains = F.ceil(F.col("main_members") / tile_rows).cast("int")
+    rows = rows.withColumn("t", F.explode(F.when(F.col("comp") == F.col("main"), F.sequence(F.lit(0), others - 1))
+                                          .otherwise(F.sequence(F.lit(0), others + mains - 1))))
+    rows = rows.withColumn("m", F.when(F.col("comp") == F.col("main"), others + F.pmod(F.xxhash64("uid"), mains))
+                           .otherwise(F.pmod(F.xxhash64("uid"), others)).cast("int"))
+    rows = rows.select("key", F.least("m", "t").alias("i"), F.greatest("m", "t").alias("j"), "m", "uid", "comp")
     rows = rows.join(sets.select("uid", "n", "bitmap"), "uid")
     names = ["key", "i", "j"]
     rows = rows.repartition(*names).sortWithinPartitions(*names)
@@ -397,16 +432,16 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows
     lowest = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("doc_id"), F.col("uid").alias("uid"))
     classes = materialise(filled.groupBy("digest").agg(F.min("uid").alias("rep"), F.min(lowest).alias("low"),
                                                        F.count(F.lit(1)).alias("rows")), "classes")
-    copies = sets.join(classes.where("rows > 1"), "digest").where("uid <> rep").select("uid")
-    reps = filled.join(copies, "uid", "left_anti")
+    copies = sets.select("uid", "digest").join(classes.where("rows > 1"), "digest").where("uid <> rep").select("uid")
+    reps = filled.join(bounded(copies, "copies"), "uid", "left_anti")
     total = sets.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 8 // 400_000 + 1)
-    pairs = materialise(first_member_pairs(reps, parts), "first-pairs")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 6 // 400_000 + 1)
+    pairs = materialise(star_pairs(reps, parts), "star-pairs")
     edges = verified(pairs, sets, docs, n, percent)
     found = components(edges)
     touched = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(found, "uid", "left").select(
         "uid", F.coalesce("comp", "uid").alias("comp"))
-    members = materialise(sets.select("uid", "keys").join(touched, "uid"), "touched")
+    members = materialise(sets.select("uid", "keys").join(bounded(touched, "comps"), "uid"), "touched")
     groups = materialise(open_groups(members, parts), "open-groups")
     if not groups.isEmpty():
         more = _across_components(groups, members, sets, percent, tile_rows)
