@@ -4,9 +4,9 @@ The scheme is the one ``RDD.zipWithIndex`` uses, on DataFrames:
 
 1. tag every row with its partition id and its index inside the partition
    (the low 33 bits of ``monotonically_increasing_id``);
-2. count rows per partition; the counts (one number per partition, a size
-   fixed by the plan, not by the data) give each partition its offset;
-3. broadcast-join the offsets back: key = start + offset + index + 1.
+2. count rows per partition; the counts (one number per partition) give each partition its offset;
+3. broadcast-join the offsets back: key = start + offset + index + 1. The
+   offsets are one short row per partition (some 400,000 at 100 TB).
 
 Tags must be repeatable between the counting job and the final write:
 
@@ -20,17 +20,11 @@ Tags must be repeatable between the counting job and the final write:
   several partitions): the tagged rows are written to the shared scratch
   folder first. Shuffle fetch order and range sampling are not repeatable,
   and the written table also survives executor loss.
-
-``keys_counted_from`` goes one step further for a fact built from a staged
-scan by broadcast lookups: the counts come from the scan itself (no columns
-read) and the fact is computed once, by its write, with a proof of the
-counts observed during that write.
 """
 
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,36 +112,3 @@ def _with_offsets(tagged: DataFrame, cols: list[str], key_col: str, counts: list
         (F.lit(start) + F.col("_k_off") + F.col("_k_idx") + 1).cast("bigint").alias(key_col))
     return keyed, start + total
 
-
-def keys_counted_from(df: DataFrame, key_col: str, counts_from: DataFrame, start: int = 0):
-    """Input-order keys for ``df`` = ``counts_from`` plus row-preserving,
-    shuffle-free steps (projections, broadcast left joins). The per-partition
-    counts come from ``counts_from`` (a scan that reads no columns), so
-    ``df`` is computed once, by the job that writes it.
-
-    Returns (keyed, high, observation) or None when ``df`` is not
-    shuffle-free. After the write the caller must check
-    ``counts_match(observation, high - start)``: it proves that no partition
-    held more rows than counted (no row index reached its partition's count,
-    no row lost its partition) and that the totals agree, hence every
-    partition held exactly its count and the keys are dense and unique. A
-    lookup that multiplied rows fails it; fall back to ``assign_dense_keys``.
-    """
-    from pyspark.sql import Observation
-    if not (is_shuffle_free(df) and is_shuffle_free(counts_from)):
-        return None
-    tagged = _tag(df)
-    off_df, total = _offsets_frame(tagged, partition_counts(counts_from))
-    joined = tagged.join(F.broadcast(off_df), "_k_part", "left")
-    obs = Observation(f"keys_{key_col}_{uuid.uuid4().hex[:8]}")
-    checked = joined.observe(obs, F.count(F.lit(1)).alias("rows"),
-                             F.max(F.when(F.col("_k_n").isNull() | (F.col("_k_idx") >= F.col("_k_n")), 1)
-                                   .otherwise(0)).alias("overrun"))
-    keyed = checked.select(*[F.col(f"`{c}`") for c in df.columns],
-                           (F.lit(start) + F.col("_k_off") + F.col("_k_idx") + 1).cast("bigint").alias(key_col))
-    return keyed, start + total, obs
-
-
-def counts_match(obs, expected_rows: int) -> bool:
-    m = obs.get
-    return m["rows"] == expected_rows and (m["overrun"] or 0) == 0

@@ -180,9 +180,9 @@ def fact_lookup(spark, sf_dir):
     t = si.tables(spark, sf_dir)
     customers, products, countries = _lookup_dims(t)
     sales = si.sales(t)
-    fact = fact_with_keys(sales, customers, products, countries)
     store = _store(spark, "lookup")
-    written = store.read_version(write_fact_with_keys(store, fact, sales, 0)[0])
+    written = store.read_version(write_fact_with_keys(
+        store, sales, lambda rows: fact_with_keys(rows, customers, products, countries), 0)[0])
     return _key_check(written, SALES.key_column)
 
 

@@ -152,17 +152,25 @@ def test_star_build_with_repeated_dimension_key_falls_back(spark, store):
     assert sorted(r.sales_trans_key for r in fact) == [1, 2, 3, 4, 5]
 
 
-def test_fact_keys_use_staged_counts(spark, store):
-    from stellate.operators.keys import keys_counted_from
-    _stage_sample(spark, store)
-    build_star(store)
-    staged = store.read("staging.sales_transactions")
-    fast = keys_counted_from(staged.select("transaction_id"), "k", staged, 10)
-    assert fast is not None
-    keyed, high, obs = fast
-    assert sorted(r.k for r in keyed.collect()) == [11, 12, 13, 14] and high == 14
-    from stellate.operators.keys import counts_match
-    assert counts_match(obs, 4)
+def test_fact_keys_do_not_depend_on_the_join(spark, store):
+    from stellate.plans.loads import write_fact_with_keys
+    from stellate.plans.warehouse import SALES, fact_with_keys
+    sales = spark.range(0, 300, numPartitions=5).selectExpr("cast(id as string) AS transaction_id", "concat('C', id % 7) AS customer_id",
+                                                            "concat('P', id % 3) AS product_id")
+    cu = spark.createDataFrame([(f"C{i}", "US", i) for i in range(6)], "customer_id string, country_code string, customer_key long")
+    pr = spark.createDataFrame([(f"P{i}", i) for i in range(3)], "product_id string, product_key long")
+    co = spark.createDataFrame([("US", 1)], "country_code string, country_key long")
+
+    def keys(broadcast_bytes):
+        ch, high = write_fact_with_keys(store, sales, lambda rows: fact_with_keys(rows, cu, pr, co, broadcast_bytes), 10)
+        assert high == 310
+        return {r["transaction_id"]: r[SALES.key_column] for r in store.read_version(ch).collect()}
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert keys(1) == keys(None)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_partition_scoped_merge(spark, store):
