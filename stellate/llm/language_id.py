@@ -87,16 +87,16 @@ def train(docs: DataFrame, max_labelled: int = 3000, epochs: int = 3):
     def make(batches):
         for batch in batches:
             found = [ngrams(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([a.astype(np.int32) for a, _ in found], pa.list_(pa.int32())),
-                                              pa.array([c for _, c in found], pa.list_(pa.int64()))], names=["lang", "at", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([a.astype("<i4").tobytes() for a, _ in found], pa.binary()),
+                                              pa.array([c.astype("<i4").tobytes() for _, c in found], pa.binary())], names=["lang", "at", "n"])
 
-    rows = picked.select("lang", "text").mapInArrow(make, "lang string, at array<int>, n array<bigint>").collect()  # bounded, sparse
-    rows = sorted((r["lang"], r["at"], r["n"]) for r in rows if r["at"])
+    rows = picked.select("lang", "text").mapInArrow(make, "lang string, at binary, n binary").collect()  # bounded, sparse
+    rows = sorted((r["lang"], bytes(r["at"]), bytes(r["n"])) for r in rows if r["at"])
     if not rows:
         return None
     languages = sorted({r[0] for r in rows})
     order = np.random.default_rng(3).permutation(len(rows))
-    data = [(np.array(rows[i][1]), np.array(rows[i][2]), languages.index(rows[i][0])) for i in order]
+    data = [(np.frombuffer(rows[i][1], "<i4"), np.frombuffer(rows[i][2], "<i4"), languages.index(rows[i][0])) for i in order]
     df = np.zeros(DIM)
     for at, _, _ in data:
         df[at] += 1
