@@ -11,6 +11,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark import SparkConf
+
 from stellate.plans import reports as R
 from stellate.plans.jobs import JOBS, run_group, run_job, run_warehouse
 from stellate.plans.warehouse import CUSTOMER, PRODUCT, SALES
@@ -31,12 +33,15 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("name", nargs="?")
     ap.add_argument("--store", required=True, help="root folder of the table store")
     ap.add_argument("--data-dir", help="CSV landing folder (default: $DATA_DIR)")
+    ap.add_argument("--single-line", action="store_true", help="no field holds a newline: files are split across tasks")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
-    spark = build_session(args.master)
+    # scratch tables go below the store unless the cluster names a shared folder
+    shared = SparkConf().get("spark.checkpoint.dir", None) or f"{args.store.rstrip('/')}/_scratch"
+    spark = build_session(args.master, conf={"spark.checkpoint.dir": shared})
     store = TableStore(spark, args.store)
     if args.command == "warehouse":
-        print(run_warehouse(spark, args.data_dir, store))
+        print(run_warehouse(spark, args.data_dir, store, multi_line=not args.single_line))
     elif args.command == "job":
         if args.name not in JOBS:
             ap.error(f"job must be one of {sorted(JOBS)}")

@@ -100,6 +100,10 @@ FROM (SELECT who, spent, AVG(spent) OVER () AS middle FROM named) WHERE spent >
     "strict_cast": """SELECT o_orderkey,
   CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS DECIMAL(18,2)) AS amount FROM orders""",
 
+    "csv_short_rows": """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+  CASE WHEN c_acctbal < 0 OR c_acctbal IS NULL THEN NULL WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS segment
+FROM customer""",
+
     "csv_scan": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars
 FROM documents""",
 

@@ -70,11 +70,11 @@ def stage(store: TableStore, table: str, df: DataFrame, *, disposition: str = "r
 
 
 def stage_csv_dir(store: TableStore, data_dir: str | None, tables: Iterable[str] = STAGING_TABLES,
-                  *, multi_line: bool = True) -> dict[str, LoadInfo]:
+                  *, multi_line: bool = True, complete_rows: bool | None = None) -> dict[str, LoadInfo]:
     """Replace-load every named CSV of ``data_dir`` into staging."""
     out = {}
     for t in tables:
-        df = read_csv(store.spark, source_path(data_dir, t), multi_line=multi_line)
+        df = read_csv(store.spark, source_path(data_dir, t), multi_line=multi_line, complete_rows=complete_rows)
         out[t], _ = stage(store, t, df, disposition="replace")
     return out
 
