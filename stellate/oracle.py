@@ -248,6 +248,20 @@ WHERE month BETWEEN '1997/01' AND '1997/06' AND month <> '1997/03'""",
     "missing_archives": f"""SELECT url, CAST(CASE WHEN month = '1997/03' THEN 0 ELSE COUNT(*) END AS BIGINT) AS n_games
 FROM ({ARCHIVE_GAMES}) g WHERE month BETWEEN '1997/01' AND '1997/06' GROUP BY url, month""",
 
+    "json_source_tables": f"""WITH n AS (SELECT COUNT(*) AS customers FROM customer),
+a AS (SELECT COUNT(DISTINCT CAST(o_custkey AS VARCHAR) || strftime(o_orderdate, '%Y/%m')) AS archives
+      FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)),
+g AS (SELECT COUNT(*) AS games FROM ({ARCHIVE_GAMES}) x WHERE month BETWEEN '1997/01' AND '1997/06' AND month <> '1997/03')
+SELECT * FROM (
+  SELECT 'landing.players_profiles' AS table_name, customers AS row_count, customers AS row_ids, CAST(1 AS BIGINT) AS loads FROM n
+  UNION ALL SELECT 'landing.players_profiles__clubs', 2 * customers, 2 * customers, 1 FROM n
+  UNION ALL SELECT 'landing.players_archives', archives, archives, 1 FROM a
+  UNION ALL SELECT 'landing.players_games', games, games, 2 FROM g
+  UNION ALL SELECT 'landing.players_online_status', 2 * customers, 2 * customers, 2 FROM n)""",
+
+    "json_child_tables": """SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS position,
+  turn, role, text FROM conversations""",
+
     "online_status": f"""SELECT 'user_' || CAST(user_id AS VARCHAR) AS username, arg_max(event_type, ts) AS online_status,
   MAX({_epoch('ts')}) AS last_login_date
 FROM events GROUP BY user_id""",

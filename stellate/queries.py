@@ -468,6 +468,39 @@ def missing_archives(spark, sf_dir):
             .select("url", F.coalesce("n_games", F.lit(0)).cast("bigint").alias("n_games")))
 
 
+def json_source_tables(spark, sf_dir):
+    """The whole JSON source over two runs: rows, distinct row ids and loads of every table."""
+    t = si.tables(spark, sf_dir)
+    store, users = _store(spark, "json-source"), _tracked(t)
+    listing, bodies = _land_listing(spark, t), _land_bodies(spark, t)
+    profile = t("customer").select(F.col("c_name").alias("username"), F.lit(0).cast("bigint").alias("last_online"),
+                                   F.col("c_custkey").cast("bigint").alias("joined"),
+                                   F.struct(F.col("c_nationkey").alias("countryCode")).alias("homeBase"),
+                                   F.array("c_mktsegment", F.lit("all")).alias("clubs"))
+    status = t("customer").select(F.col("c_name").alias("username"), F.lit("offline").alias("onlineStatus"),
+                                  F.lit(0).cast("bigint").alias("lastLoginDate"))
+    landed = {"profiles": profile, "archives": listing, "bodies": bodies, "status": status}
+    J.run_json_source(store, landed, users, *RUN1, resources=J.RESOURCES)
+    J.run_json_source(store, landed, users, *RUN2)
+    tables = [J.PROFILES_TABLE, f"{J.PROFILES_TABLE}__clubs", J.ARCHIVES_TABLE, J.GAMES_TABLE, J.STATUS_TABLE]
+    out = None
+    for name in tables:
+        one = store.read(name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                                   F.countDistinct("_row_id").alias("row_ids"), F.countDistinct("_load_id").alias("loads"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def json_child_tables(spark, sf_dir):
+    """Records with lists of structs: the child table's rows, found again through the parent's row id."""
+    t = si.tables(spark, sf_dir)
+    store = _store(spark, "json-children")
+    J.load_resource(store, "landing.conversations", _land_conversations(spark, t), "replace")
+    parent, child = store.read("landing.conversations"), store.read("landing.conversations__messages")
+    return child.join(parent.select("conv_id", "base", F.col("_row_id").alias("_parent_id")), "_parent_id").select(
+        "conv_id", (F.col("base") + F.col("_list_idx")).alias("position"), "turn", "role", "text")
+
+
 def online_status(spark, sf_dir):
     t = si.tables(spark, sf_dir)
     ev = t("events")
@@ -600,6 +633,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "games_incremental": games_incremental,
     "archive_ledger": archive_ledger,
     "missing_archives": missing_archives,
+    "json_source_tables": json_source_tables,
+    "json_child_tables": json_child_tables,
     "online_status": online_status,
     "online_status_stream": online_status_stream,
     "flatten_json": flatten_json,

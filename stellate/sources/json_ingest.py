@@ -11,17 +11,19 @@ games, so no record or group has to hold a whole archive.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellate.functions.casts import apply_type_hints
-from stellate.functions.columns import normalize_names
+from stellate.functions.columns import flatten, normalize_names
 from stellate.functions.months import month_of_url, month_range_filter, validate_month
 from stellate.operators.lookups import bounded_broadcast
-from stellate.sources.staging import LoadInfo, add_lineage, new_load_id
+from stellate.operators.nested import child_rows
+from stellate.sources.staging import LoadInfo, add_lineage, new_load_id, select_resources
 from stellate.sources.store import Change, TableStore
 
 # Column typing hints of the reference's resources (fixed values).
@@ -32,6 +34,8 @@ GAMES_TABLE = "landing.players_games"
 LEDGER_TABLE = "landing._archives_ledger"
 PROFILES_TABLE = "landing.players_profiles"
 STATUS_TABLE = "landing.players_online_status"
+ARCHIVES_TABLE = "landing.players_archives"
+RESOURCES = ("players_profiles", "players_archives", "players_games", "players_online_status")
 
 
 def read_landed(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
@@ -114,16 +118,22 @@ def load_games_incrementally(store: TableStore, listing: DataFrame, bodies: Data
         candidates = candidates.join(store.read(ledger_table).select("url"), "url", "left_anti")
     fresh_path = store.write_version(ledger_table, candidates.select("url", F.lit(load_id).alias("_load_id")))
     fresh = store.read_version(fresh_path)
-    games = checked_games(bodies, fresh).withColumn("_load_id", F.lit(load_id))
-    games_ch = store.write_version(games_table, games)
-    rows = store.read_version(games_ch).count()
-    store.commit({
-        games_table: Change("append", games_ch.path, games_ch.schema),
-        ledger_table: Change("append", fresh_path.path, fresh_path.schema),
-    }, base=base)
+    changes, rows = write_nested(store, games_table, checked_games(in_months(bodies, start_month, end_month), fresh), "append", load_id)
+    store.commit({**changes, ledger_table: Change("append", fresh_path.path, fresh_path.schema)}, base=base)
     return LoadInfo(games_table, load_id, rows, "append")
 
 
+def in_months(bodies: DataFrame, start_month: str | None, end_month: str | None) -> DataFrame:
+    """Only the ``month=YYYY-MM`` folders of the range, when bodies are landed
+    in such folders (the bound prunes folders before anything is parsed)."""
+    if "month" not in bodies.columns:
+        return bodies
+    for bound, keep in ((start_month, F.col("month").__ge__), (end_month, F.col("month").__le__)):
+        if bound:
+            bodies = bodies.filter(keep(F.lit(bound.replace("/", "-"))))
+    return bodies.drop("month")
+
+
 def players_online_status(snapshots: DataFrame, users: Iterable[str] | DataFrame | None = None) -> DataFrame:
     """Status snapshot per user plus the time of the check."""
     df = restrict_to_users(snapshots, users) if users is not None else snapshots
@@ -131,11 +141,55 @@ def players_online_status(snapshots: DataFrame, users: Iterable[str] | DataFrame
                      F.current_timestamp().alias("check_time"))
 
 
+def write_nested(store: TableStore, table: str, df: DataFrame, disposition: str, load_id: str) -> tuple[dict[str, Change], int]:
+    """Write records as unpublished versions: structs become columns, names
+    snake_case, every row gets its load and row id, and every list column
+    becomes a table of its own (``<table>__<column>``: parent's row id,
+    position, the element's fields), to any depth. Returns the changes and
+    the rows of ``table``."""
+    seen = Observation(f"nested_{uuid.uuid4().hex[:8]}")
+    rows = add_lineage(normalize_names(flatten(df)), load_id)
+    ch = store.write_version(table, rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+    n = int(seen.get["rows"])
+    lists = [f.name for f in ch.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    if not lists:
+        return {table: Change(disposition, ch.path, ch.schema)}, n
+    written = store.read_version(ch)   # fixed row ids: the children refer to them
+    ch = store.write_version(table, written.drop(*lists))
+    changes = {table: Change(disposition, ch.path, ch.schema)}
+    for c in lists:
+        child = child_rows(written, "_row_id", c, position="_list_idx").withColumnRenamed("_row_id", "_parent_id")
+        changes.update(write_nested(store, f"{table}__{c}", child, disposition, load_id)[0])
+    return changes, n
+
+
 def load_resource(store: TableStore, table: str, df: DataFrame, disposition: str) -> LoadInfo:
-    """Write a resource the way the loader does: names normalised to
-    snake_case, lineage added, replace or append (schema growth on append)."""
+    """Write a resource and the tables of its lists, replace or append
+    (schema growth on append), in one commit."""
     load_id = new_load_id()
-    out = add_lineage(normalize_names(df), load_id)
-    ch = store.write_version(table, out)
-    store.commit({table: Change(disposition, ch.path, ch.schema)})
-    return LoadInfo(table, load_id, store.read_version(ch).count(), disposition)
+    changes, rows = write_nested(store, table, df, disposition, load_id)
+    store.commit(changes)
+    return LoadInfo(table, load_id, rows, disposition)
+
+
+def run_json_source(store: TableStore, landed: dict[str, str | list[str] | DataFrame], users: Iterable[str] | DataFrame,
+                    start_month: str | None = None, end_month: str | None = None,
+                    resources: Iterable[str] | None = None) -> dict[str, LoadInfo]:
+    """Load the chosen resources of the landed JSON for the tracked users.
+
+    ``landed`` names folders (or frames) for ``profiles``, ``archives``,
+    ``bodies`` and ``status``. Without ``resources`` all but the archive
+    listing are loaded. Profiles and listing replace their tables, games
+    (archives in the month range and not loaded before) and status append."""
+    def source(name: str) -> DataFrame:
+        at = landed[name]
+        return at if isinstance(at, DataFrame) else read_landed(store.spark, at)
+
+    builders = {
+        "players_profiles": lambda: load_resource(store, PROFILES_TABLE, players_profiles(source("profiles"), users), "replace"),
+        "players_archives": lambda: load_resource(store, ARCHIVES_TABLE, players_archives(source("archives"), users), "replace"),
+        "players_games": lambda: load_games_incrementally(store, source("archives"), source("bodies"), users, start_month, end_month),
+        "players_online_status": lambda: load_resource(store, STATUS_TABLE, players_online_status(source("status"), users), "append"),
+    }
+    chosen = select_resources(builders, resources, deselected=("players_archives",))
+    return {name: build() for name, build in chosen.items()}
