@@ -223,6 +223,14 @@ UNION ALL SELECT 'customers_dim', COUNT(*) FROM customer
 UNION ALL SELECT 'products_dim', COUNT(*) FROM part
 UNION ALL SELECT 'sales_transactions_fact', COUNT(*) FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
 
+    "job_group_counts": f"""WITH f AS (SELECT COUNT(*) AS n FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT 'fullload.LOAD_COUNTRY_DIM' AS job, COUNT(*) AS row_count FROM ({COUNTRY}) x
+UNION ALL SELECT 'fullload.LOAD_CUSTOMER_DIM', COUNT(*) FROM customer
+UNION ALL SELECT 'fullload.LOAD_PRODUCT_DIM', COUNT(*) FROM part
+UNION ALL SELECT 'fullload.LOAD_SALES_TRANSACTIONS_FACT', n FROM f
+UNION ALL SELECT 'merge_load.MERGE_' || t, 0 FROM (VALUES ('COUNTRY_DIM'), ('CUSTOMER_DIM'), ('PRODUCT_DIM'), ('SALES_TRANSACTIONS_FACT')) v(t)
+UNION ALL SELECT 'rows of the fact', n FROM f""",
+
     "profiles": f"""SELECT 'user_' || CAST(user_id AS VARCHAR) AS username,
   MAX({_epoch('ts')}) AS last_online_epoch, MIN({_epoch('ts')}) AS joined_epoch
 FROM events GROUP BY user_id""",

@@ -27,7 +27,7 @@ from stellate.plans import reports as R
 from stellate.plans.audit import create_error_log, error_summary, run_logged
 from stellate.plans.loads import fact_source, full_load, merge_load, truncate, write_fact_with_keys
 from stellate.plans.partitioned import merge_partitioned, month_of, publish_partitioned
-from stellate.plans.jobs import run_warehouse
+from stellate.plans.jobs import run_group, run_warehouse
 from stellate.plans.star import build_star
 from stellate.plans.warehouse import COUNTRY, CUSTOMER, PRODUCT, SALES, fact_with_keys
 from stellate.session import new_scratch_dir
@@ -353,14 +353,20 @@ def error_log_summary(spark, sf_dir):
     return error_summary(store)
 
 
-def star_row_counts(spark, sf_dir):
+def _built_star(spark, sf_dir, tag):
+    """CSV landing folder -> staging -> star, as the batch run does it."""
     t = si.tables(spark, sf_dir)
     data_dir = new_scratch_dir(spark, "landing-csv")
     for name, df in (("country", si.country(t)), ("customer", si.customer(t)),
                      ("product", si.product(t)), ("sales_transactions", si.sales(t))):
         write_csv(df, f"{data_dir}/{name}.csv")
-    store = _store(spark, "warehouse")
+    store = _store(spark, tag)
     run_warehouse(spark, data_dir, store, multi_line=False)   # key/name/number columns: no newlines
+    return store
+
+
+def star_row_counts(spark, sf_dir):
+    store = _built_star(spark, sf_dir, "warehouse")
     parts = [store.read(spec.qualified).agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(spec.name).alias("table_name"), "row_count")
              for spec in (COUNTRY, CUSTOMER, PRODUCT, SALES)]
@@ -370,6 +376,15 @@ def star_row_counts(spark, sf_dir):
     return out
 
 
+def job_group_counts(spark, sf_dir):
+    """Both job groups over a built star: rows loaded, then rows inserted by
+    the merges (every staged row matches), and the fact's rows afterwards."""
+    store = _built_star(spark, sf_dir, "groups")
+    done = {**run_group(store, "fullload"), **run_group(store, "merge_load")}
+    rows = spark.createDataFrame([(k, int(v)) for k, v in done.items()], "job string, row_count bigint")
+    return rows.unionAll(store.read(SALES.qualified).agg(F.lit("rows of the fact").alias("job"), F.count(F.lit(1)).alias("row_count")))
+
+
 # ---------------------------------------------------------------- JSON ingest
 def _land(df: DataFrame, spark, tag) -> str:
     path = new_scratch_dir(spark, tag)
@@ -626,6 +641,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_duplicate_check": merge_duplicate_check,
     "error_log_summary": error_log_summary,
     "star_row_counts": star_row_counts,
+    "job_group_counts": job_group_counts,
     "profiles": profiles,
     "archive_listing": archive_listing,
     "month_range": month_range,
