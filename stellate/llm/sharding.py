@@ -21,14 +21,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import materialise
+from stellate.llm.common import bounded, materialise
 from stellate.operators.keys import assign_dense_keys
 
 
 def text_links(rows: DataFrame) -> DataFrame:
     """(uid, anchor) of rows whose text occurs again."""
     groups = rows.where("anchor IS NOT NULL").groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return rows.select("uid", "anchor").join(groups.select("anchor"), "anchor").select("uid", "anchor")
+    return rows.select("uid", "anchor").join(bounded(groups.select("anchor"), "shard-groups"), "anchor").select("uid", "anchor")
 
 
 def shared_line_links(docs: DataFrame, min_chars: int = 80) -> DataFrame:
@@ -52,7 +52,7 @@ def propagate(links: DataFrame, n_rows: int, n_shards: int = 16, rounds: int = 6
         room = [max(0, quota - held.get(s, 0)) for s in shards]
         votes = links.join(state, "uid").groupBy("anchor").agg(
             F.array(*[F.sum((F.col("shard") == s).cast("long")) for s in shards]).alias("votes"))
-        wish = links.join(votes, "anchor").groupBy("uid").agg(
+        wish = links.join(bounded(votes, "shard-votes", 100_000), "anchor").groupBy("uid").agg(
             F.array(*[F.sum(F.get("votes", F.lit(s))) for s in shards]).alias("votes"),
             F.min("anchor").alias("anchor"))
         wish = wish.join(state, "uid")
