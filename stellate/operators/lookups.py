@@ -25,22 +25,6 @@ _FIXED_WIDTH = {
 }
 
 
-_MEASURED: dict[tuple, tuple[int, int]] = {}
-
-
-def _immutable_key(df: DataFrame) -> tuple | None:
-    """Cache key for plans that read only immutable data: table-store
-    versions and scratch tables are written once under fresh names, so a
-    measurement of the same plan over the same files stays valid."""
-    from stellate.session import scratch_root
-    files = df.inputFiles()
-    prefix = scratch_root(df.sparkSession).split("://")[-1] + "/stellate/"
-    if not files or not all(prefix in f for f in files):
-        return None
-    qe = df._jdf.queryExecution()
-    return (qe.analyzed().semanticHash(), tuple(sorted(files)))
-
-
 def _size_exprs(df: DataFrame):
     """(fixed bytes per row, column summing the variable-width bytes)."""
     var, fixed = [], 0
@@ -65,77 +49,25 @@ def measured_bytes_many(dfs: list[DataFrame]) -> list[tuple[int, int]]:
     """(rows, bytes) of several DataFrames, measured together in one job (a
     union of one-row aggregates): fixed-width columns by their type size,
     strings and binaries by their real length, nested columns by the length
-    of their JSON form. Plans over immutable store/scratch data are measured
-    once per session."""
-    out: list[tuple[int, int] | None] = [None] * len(dfs)
-    todo = []
+    of their JSON form."""
+    union = None
     for i, df in enumerate(dfs):
-        key = _immutable_key(df)
-        if key is not None and key in _MEASURED:
-            out[i] = _MEASURED[key]
-            continue
-        written = _written_size(df)
-        if written is not None:
-            out[i] = written
-        else:
-            todo.append((i, df, key))
-    if todo:
-        parts = []
-        for i, df, _ in todo:
-            fixed, var = _size_exprs(df)
-            parts.append(df.agg(F.count(F.lit(1)).alias("rows"), var.alias("var"))
-                         .select(F.lit(i).alias("i"), "rows", "var", F.lit(fixed + 16).alias("width")))
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        for r in union.collect():
-            out[r["i"]] = (int(r["rows"]), int(r["rows"]) * int(r["width"]) + int(r["var"]))
-        for i, _, key in todo:
-            if key is not None:
-                _MEASURED[key] = out[i]
-    return out
-
-
-def _pure_scan(df: DataFrame) -> bool:
-    """Only relation scans, filters and projections of plain columns (no
-    computed values), so the result is never larger than what was read."""
-    for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines():
-        node = line.lstrip(" :+-").strip()
-        if not node or node.startswith("Relation") or node.startswith("Filter"):
-            continue
-        if node.startswith("Project") and "(" not in node:
-            continue
-        return False
-    return True
-
-
-def _written_size(df: DataFrame) -> tuple[int, int] | None:
-    """Upper bound from sizes observed when the versions were written, for
-    plain reads (scan, filter, column projection) of such versions; None
-    otherwise."""
-    from stellate.sources.store import VERSION_SIZES, _plain_path
-    if not VERSION_SIZES or not _pure_scan(df):
-        return None
-    versions = set()
-    for f in df.inputFiles():
-        plain = _plain_path(f)
-        match = next((v for v in VERSION_SIZES if plain.startswith(v + "/")), None)
-        if match is None:
-            return None
-        versions.add(match)
-    if not versions:
-        return None
-    sizes = [VERSION_SIZES[v] for v in versions]
-    return sum(r for r, _ in sizes), sum(b for _, b in sizes)
+        fixed, var = _size_exprs(df)
+        one = df.agg(F.count(F.lit(1)).alias("rows"), var.alias("var")).select(
+            F.lit(i).alias("i"), "rows", "var", F.lit(fixed + 16).alias("width"))
+        union = one if union is None else union.unionByName(one)
+    rows = sorted(union.collect()) if union is not None else []
+    return [(int(r["rows"]), int(r["rows"]) * int(r["width"]) + int(r["var"])) for r in rows]
 
 
 def measured_bytes(df: DataFrame) -> tuple[int, int]:
     return measured_bytes_many([df])[0]
 
 
-# Catalyst's size estimate comes from (compressed) file sizes; a table whose
-# estimate exceeds the limit this many times over is not measured at all.
+# A table that Catalyst (by file sizes, or multiplied up by joins) takes to be
+# this many times over the limit is not measured; it joins by shuffling.
 _ESTIMATE_MARGIN = 8
+_UNKNOWN = 1 << 62   # what Catalyst says about data it knows nothing of
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -144,43 +76,30 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(size if isinstance(size, int) else size.toString())
 
 
-# Plan nodes whose size estimate is not an upper bound of anything useful:
-# joins multiply their children's sizes, aggregates keep the child's size,
-# RDD-backed relations report Long.MaxValue.
-_UNRELIABLE = ("Join", "Aggregate", "LogicalRDD", "Generate", "Window", "Expand")
-
-
-def _estimate_is_scan_size(df: DataFrame) -> bool:
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return not any(node in plan for node in _UNRELIABLE)
+def bounded_many(dfs: list[DataFrame], max_bytes: int | None = None) -> list[bool]:
+    """Whether a measurement proves each table to be under the limit."""
+    if not dfs:
+        return []
+    limit = _broadcast_limit(dfs[0], max_bytes)
+    likely = [i for i, df in enumerate(dfs) if not _ESTIMATE_MARGIN * limit < estimated_bytes(df) < _UNKNOWN]
+    sizes = dict(zip(likely, measured_bytes_many([dfs[i] for i in likely])))
+    return [i in sizes and sizes[i][1] <= limit for i in range(len(dfs))]
 
 
 def is_bounded(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """True when a measurement proves ``df`` is under the limit. A plain scan
-    (with filters and projections) whose file-based estimate is far above
-    the limit is rejected without scanning it."""
-    limit = _broadcast_limit(df, max_bytes)
-    if _estimate_is_scan_size(df) and estimated_bytes(df) > _ESTIMATE_MARGIN * limit:
-        return False
-    return measured_bytes(df)[1] <= limit
+    return bounded_many([df], max_bytes)[0]
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when a measurement proves it is under the limit;
     otherwise return it unchanged so the join shuffles (with AQE skew
     splitting) instead of shipping an unbounded table to every executor."""
-    return F.broadcast(df) if is_bounded(df, max_bytes) else df
+    return bounded_broadcast_many([df], max_bytes)[0]
 
 
 def bounded_broadcast_many(dfs: list[DataFrame], max_bytes: int | None = None) -> list[DataFrame]:
     """``bounded_broadcast`` for several tables, measured in one job."""
-    if not dfs:
-        return []
-    limit = _broadcast_limit(dfs[0], max_bytes)
-    candidates = [i for i, df in enumerate(dfs)
-                  if not (_estimate_is_scan_size(df) and estimated_bytes(df) > _ESTIMATE_MARGIN * limit)]
-    sizes = dict(zip(candidates, measured_bytes_many([dfs[i] for i in candidates])))
-    return [F.broadcast(df) if i in sizes and sizes[i][1] <= limit else df for i, df in enumerate(dfs)]
+    return [F.broadcast(df) if small else df for df, small in zip(dfs, bounded_many(dfs, max_bytes))]
 
 
 @dataclass(frozen=True)

@@ -209,15 +209,3 @@ def test_partition_guards(spark, store):
     publish_partitioned(store, SALES.qualified, store.read(SALES.qualified), month_of())
     with pytest.raises(ValueError):
         store.compact(SALES.qualified)
-
-
-def test_dimension_sizes_recorded_at_write(spark, store):
-    from stellate.operators.lookups import measured_bytes_many
-    _stage_sample(spark, store)
-    build_star(store)
-    sc = spark.sparkContext
-    sc.setJobGroup("size-check", "size-check")
-    sizes = measured_bytes_many([store.read(CUSTOMER.qualified).select("customer_id", "customer_key")])
-    jobs = sc.statusTracker().getJobIdsForGroup("size-check")
-    sc.setJobGroup("", "")
-    assert sizes[0][0] == 3 and sizes[0][1] > 0 and len(jobs) == 0

@@ -71,14 +71,3 @@ def test_batched_broadcast_decisions(spark):
     hinted = ["broadcast" in d._jdf.queryExecution().logical().toString().lower() for d in out]
     assert hinted == [True, False]
     assert bounded_broadcast_many([]) == []
-
-
-def test_written_size_only_for_pure_reads(spark):
-    from stellate.operators.lookups import _written_size
-    from stellate.sources.store import TableStore
-    store = TableStore.scratch(spark, "sizes")
-    store.replace("dwh.d", spark.createDataFrame([("a", 1)], "s string, k long"), measure=True)
-    d = store.read("dwh.d")
-    assert _written_size(d.select("k", F.col("s").alias("x"))) is not None
-    assert _written_size(d.filter("k > 0")) is not None
-    assert _written_size(d.select(F.concat("s", "s").alias("big"))) is None      # computed: not bounded
