@@ -44,16 +44,18 @@ def fk_violations(fact: DataFrame, fk_col: str, dim: DataFrame, dim_key: str,
 
 
 def fk_violation_counts(fact: DataFrame, refs: list[tuple[str, DataFrame, str]],
-                        broadcast_bytes: int | None = None) -> dict[str, int]:
+                        broadcast_bytes: int | None = None, *, unique_keys: bool = False) -> dict[str, int]:
     """Violations of several foreign keys of one fact in a single pass over
     its key columns: ``refs`` holds (fk column, dimension, dimension key).
-    Each dimension's keys are de-duplicated and joined (broadcast when
-    measured small); a non-NULL fk without a partner is a violation."""
+    Each dimension's keys are de-duplicated, unless known to be unique, and
+    joined (broadcast when measured small); a non-NULL fk without a partner
+    is a violation."""
     out = fact.select(*[fk for fk, _, _ in refs])
     checks = []
     for i, (fk, dim, key) in enumerate(refs):
         ok = f"_fk{i}_ok"
-        keys = dim.select(F.col(key).alias(f"_fk{i}_key")).dropDuplicates().withColumn(ok, F.lit(True))
+        keys = dim.select(F.col(key).alias(f"_fk{i}_key"))
+        keys = (keys if unique_keys else keys.dropDuplicates()).withColumn(ok, F.lit(True))
         out = out.join(bounded_broadcast(keys, broadcast_bytes), F.col(fk) == F.col(f"_fk{i}_key"), "left")
         checks.append(F.count_if(F.col(fk).isNotNull() & F.col(ok).isNull()).alias(fk))
     row = out.agg(*checks).first()

@@ -24,17 +24,6 @@ def test_replayed_batch_not_appended_twice(spark, store):
     assert store.read("landing.s").count() == 1
 
 
-def test_compaction_keeps_rows_and_replay_guard(spark, store):
-    for i in range(5):
-        store.append("landing.c", spark.createDataFrame([(f"u{i}", "x")], SCHEMA), load_id=f"stream-q-{i}")
-    assert len(store.manifest()["tables"]["landing.c"]["paths"]) == 5
-    assert store.compact("landing.c") == 1
-    assert len(store.manifest()["tables"]["landing.c"]["paths"]) == 1
-    assert sorted(r.username for r in store.read("landing.c").collect()) == [f"u{i}" for i in range(5)]
-    store.append("landing.c", spark.createDataFrame([("u0", "x")], SCHEMA), load_id="stream-q-0")
-    assert store.read("landing.c").count() == 5
-
-
 def test_manifest_hint_may_be_stale(spark, store):
     store.append("landing.h", spark.createDataFrame([("a", "x")], SCHEMA))
     store.append("landing.h", spark.createDataFrame([("b", "x")], SCHEMA))
