@@ -3,10 +3,15 @@
 Documents are linked through anchors (here: the text they share), a star per
 group instead of its pairs. Linked documents start in shards by a hash; in
 every round each anchor counts its documents per shard, each document sums
-the counts of its anchors and asks to move where most of its neighbours are,
-and a shard takes movers only up to its room (rows a shard may hold less
-those it has). A group larger than a shard goes to the fewest shards that
-can hold it. Rows without links then fill all shards up to their quota.
+the counts of its anchors and asks to move where most of its neighbours are.
+What a shard takes follows from the counts of asked moves between shards: its
+room and the places that its own movers leave, so full shards swap. Luck is
+drawn per anchor, so a group moves whole, and a shard that could not take all
+is left out by a like share of anchors in the next round. A group larger than
+a shard goes to the fewest shards that can hold it, and small groups that are
+whole give way to it. Rounds end when the cut (links outside their anchor's
+shards) stops falling; the least cut is kept. Rows without links then fill all
+shards up to their quota.
 
 The law is ``rows``: shard counts differ by one at most. Places are dense
 ranks from a range-partitioned sort, not one task's numbering.
@@ -18,7 +23,8 @@ no rows; with fewer rows than shards some shards stay empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.common import bounded, materialise
@@ -40,42 +46,82 @@ def shared_line_links(docs: DataFrame, min_chars: int = 80) -> DataFrame:
     return lines.join(often.select("anchor"), "anchor").select("uid", "anchor")
 
 
-def propagate(links: DataFrame, n_rows: int, n_shards: int = 16, rounds: int = 6) -> DataFrame:
-    """(uid, shard) of the linked rows. No shard gets more rows than its
-    quota but for the chance in accepting movers, which the caller evens out."""
+def accepted(asked: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """The share of movers each shard takes: the most at which, by the counts
+    ``asked[from, to]``, no shard takes more than its room and what leaves it."""
+    into, share = asked.sum(axis=0), np.ones(len(room))
+    for _ in range(1000):
+        new = np.where(into > 0, np.clip((room + asked @ share) / np.maximum(into, 1), 0, share), 1.0)
+        if np.abs(new - share).max() < 1e-6:
+            break
+        share = new
+    return share
+
+
+def _draw(*cols: Column | int) -> Column:
+    """A number in [0, 1) that depends on ``cols`` only."""
+    return F.pmod(F.xxhash64(*[c if isinstance(c, Column) else F.lit(c) for c in cols]), F.lit(1 << 30)) / float(1 << 30)
+
+
+def propagate(links: DataFrame, n_rows: int, n_shards: int = 16, patience: int = 3) -> DataFrame:
+    """(uid, shard) of the linked rows. Shards may pass their quota by a
+    fiftieth and the chance in accepting movers, which the caller evens out.
+    Ends when ``patience`` rounds have not lowered the cut by a hundredth."""
     shards = range(n_shards)
     quota = -(-n_rows // n_shards)
-    pick = lambda k, *cols: F.pmod(F.xxhash64(F.lit(k), *cols), F.lit(n_shards)).cast("int")
-    state = materialise(links.select("uid").distinct().select("uid", pick(-1, F.col("uid")).alias("shard")), "shard-labels")
-    for turn in range(rounds):
-        held = dict(state.groupBy("shard").count().collect())  # one number per shard
-        room = [max(0, quota - held.get(s, 0)) for s in shards]
+    start = F.pmod(F.xxhash64(F.lit(-1), F.col("uid")), F.lit(n_shards)).cast("int").alias("shard")
+    state = materialise(links.select("uid").distinct().select("uid", start), "shard-labels")
+    total = F.aggregate("votes", F.lit(0).cast("long"), lambda a, v: a + v)
+    # a group larger than a shard settles in as many of its first shards as it needs
+    need = F.greatest(F.lit(1), F.ceil(total / quota)).cast("int")
+    outside = total - F.aggregate(F.slice(F.sort_array("votes", asc=False), 1, need), F.lit(0).cast("long"), lambda a, v: a + v)
+    share, pressure, best, cuts = np.ones(n_shards), np.zeros(n_shards), state, []
+    while True:
+        turn = len(cuts)
         votes = links.join(state, "uid").groupBy("anchor").agg(
             F.array(*[F.sum((F.col("shard") == s).cast("long")) for s in shards]).alias("votes"))
-        wish = links.join(bounded(votes, "shard-votes", 100_000), "anchor").groupBy("uid").agg(
+        votes = bounded(votes, "shard-votes", 100_000)
+        cut = votes.agg(F.sum(outside)).first()[0] or 0
+        if cuts and cut < min(cuts):
+            best = state
+        cuts.append(cut)
+        if cut == 0 or turn >= patience and min(cuts[-patience:]) > 0.99 * min(cuts[:-patience]):
+            return best
+        wish = links.join(votes, "anchor").groupBy("uid").agg(
             F.array(*[F.sum(F.get("votes", F.lit(s))) for s in shards]).alias("votes"),
             F.min("anchor").alias("anchor"))
-        wish = wish.join(state, "uid")
+        wish = wish.join(state, "uid").withColumn("need", need).withColumn("whole", outside == 0)
+        per = lambda values: F.get(F.array(*[F.lit(float(v)) for v in values]), F.col("shard"))
+        wish = wish.withColumn("yields", F.col("whole") & (F.col("need") == 1) & (_draw(F.col("anchor"), turn, -3) < per(pressure)))
         # ties go to the same shard for all rows of an anchor, but spread over anchors
-        options = F.array(*[F.when(F.lit(room[s] > 0) | (F.col("shard") == s), F.struct(
-            F.get("votes", F.lit(s)).alias("n"), F.xxhash64("anchor", F.lit(s)).alias("tie"), F.lit(s).alias("s"))) for s in shards])
-        # a group larger than a shard settles in as many of its first shards as it needs
-        need = F.greatest(F.lit(1), F.ceil(F.aggregate("votes", F.lit(0).cast("long"), lambda a, v: a + v) / quota)).cast("int")
-        best = F.slice(F.sort_array(F.array_compact(options), asc=False), 1, need)
-        wish = wish.select("uid", "shard", F.transform(best, lambda o: o["s"]).alias("best"))
-        wish = materialise(wish.select("uid", "shard", F.when(F.array_contains("best", F.col("shard")), F.col("shard")).otherwise(
-            F.get("best", F.pmod(F.xxhash64("uid", F.lit(-2)), F.size("best")).cast("int"))).alias("wish")), "shard-wishes")
-        asked = dict(wish.where("wish <> shard").groupBy("wish").count().collect())
-        if not asked:
-            break
-        odds = F.array(*[F.lit(min(1.0, room[s] / asked[s]) if s in asked else 0.0) for s in shards])
-        luck = F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
-        state = materialise(wish.select("uid", F.when(luck < F.get(odds, F.col("wish")), F.col("wish"))
-                                        .otherwise(F.col("shard")).alias("shard")), "shard-labels")
-    return state
+        options = F.array(*[F.struct(
+            (~(F.col("yields") & (F.col("shard") == s))).alias("other"),
+            (_draw(F.col("anchor"), turn, s) < float(share[s])).alias("open"),
+            F.get("votes", F.lit(s)).alias("n"), F.xxhash64("anchor", F.lit(s)).alias("tie"), F.lit(s).alias("s")) for s in shards])
+        first = F.transform(F.slice(F.sort_array(options, asc=False), 1, F.col("need")), lambda o: o["s"])
+        wish = wish.withColumn("best", first)
+        stays = F.when(F.col("whole"), ~F.col("yields")).otherwise(F.array_contains("best", F.col("shard")))
+        large = F.col("need") > 1
+        wish = materialise(wish.select(
+            "uid", "shard", large.alias("large"),
+            F.when(large, _draw(F.col("uid"), turn, -4)).otherwise(_draw(F.col("anchor"), turn, -4)).alias("luck"),
+            F.when(stays, F.col("shard")).otherwise(
+                F.get("best", F.pmod(F.xxhash64("uid", F.lit(-2)), F.size("best")).cast("int"))).alias("wish")), "shard-wishes")
+        # n_shards * n_shards * 2 numbers
+        held, asked, by_large = np.zeros(n_shards), np.zeros((n_shards, n_shards)), np.zeros(n_shards)
+        for s, to, is_large, n in wish.groupBy("shard", "wish", "large").count().collect():
+            held[s] += n
+            if s != to:
+                asked[s, to] += n
+                by_large[to] += n * is_large
+        share = accepted(asked, np.maximum(0, quota + quota // 50 - held))
+        pressure = np.minimum(0.5, (1 - share) * by_large / np.maximum(held, 1))
+        odds = F.get(F.array(*[F.lit(float(x)) for x in share]), F.col("wish"))
+        state = materialise(wish.select("uid", F.when(F.col("luck") < odds, F.col("wish")).otherwise(F.col("shard")).alias("shard")),
+                            "shard-labels")
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 16, rounds: int = 6, min_line_chars: int | None = None) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 16, patience: int = 3, min_line_chars: int | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) per row.
     With ``min_line_chars`` long lines that rows share link them, too."""
     data = F.col("text").cast("binary")
@@ -90,7 +136,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, rounds: int = 6, min_li
         links = links.unionAll(shared_line_links(rows, min_line_chars)).distinct()
         rows = rows.drop("text")
     links = materialise(links, "shard-links")
-    placed = rows.join(propagate(links, n, n_shards, rounds), "uid", "left")
+    placed = rows.join(propagate(links, n, n_shards, patience), "uid", "left")
     quotas = [n // n_shards + (s < n % n_shards) for s in range(n_shards)]
     keep = ["doc_id", "size", "text_crc32", "anchor", "uid", "shard"]
     # linked rows by shard and group; what a shard cannot hold joins the rows without links

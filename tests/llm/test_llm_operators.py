@@ -231,6 +231,25 @@ def test_shards_are_even_and_keep_groups(frame):
     assert sum(p > 1 for p in pairs) <= 30  # random places would cut about 140 of them
 
 
+@pytest.mark.parametrize("hot", [0, 1200])
+def test_shards_keep_groups_when_every_row_is_linked(frame, hot):
+    n = 3600
+    text = {i: "the hot text" if i < hot else f"text {(i - hot) // 20}" for i in range(n)}
+    out = sharding.shard_documents(frame([(i, t, None, None) for i, t in text.items()])).collect()
+    groups, held = {}, [0] * 16
+    for r in out:
+        held[r["shard"]] += 1
+        groups.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+    assert len(out) == n and held == [n // 16] * 16
+    assert sum(map(len, groups.values())) / len(groups) < 1.8  # random places: 11.6
+
+
+def test_full_shards_swap_movers():
+    share = sharding.accepted(np.array([[0, 8, 0], [0, 0, 8], [4, 0, 0]]), np.zeros(3))
+    assert np.allclose(share, [1, 0.5, 0.5])
+    assert np.allclose(sharding.accepted(np.array([[0, 8], [0, 0]]), np.array([0, 2])), [1, 0.25])
+
+
 def test_shards_of_few_or_no_rows(frame):
     assert sharding.shard_documents(frame([])).count() == 0
     assert sorted(r["shard"] for r in sharding.shard_documents(frame([(1, "a", None, None), (2, "a", None, None)])).collect()) == [0, 1]
