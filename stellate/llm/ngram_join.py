@@ -3,7 +3,8 @@
 A document's set holds 64-bit hashes of its distinct n-word shingles. Size
 bands make tiles: two sets can only link (100 * both >= percent * either)
 when their sizes differ by that ratio, so a set belongs to its band's tile
-and, near the lower edge, to the tile below. In a tile at most D shingles
+and to every tile below whose sets it can link with (from 77 percent on, one
+at most, near the lower edge). In a tile at most D shingles
 differ between linked sets; cutting the hash range into D + 1 + E buckets
 leaves E + 1 buckets in which both sets agree, at least one of them not
 empty unless a set has more than E empty buckets (it then offers those,
@@ -95,16 +96,15 @@ class Bands:
     def tiles(self, size: int) -> list[tuple[int, int, int]]:
         """(tile, buckets, empty buckets allowed) of a set of this size."""
         own, out = int(np.searchsorted(self.lows, size, "right")) - 1, []
-        for b in (own, own - 1):
-            if b < 0:
-                continue
+        for b in range(own, -1, -1):
             high = int(self.lows[b + 1]) - 1
             most = high * 100 // self.percent
-            if b == own or size <= most:
-                differ = (high + most) * (100 - self.percent) // (100 + self.percent)
-                if differ:  # else only equal sets link, and those are one class
-                    spare = 1 if differ < 10 else 2 + differ // 20
-                    out.append((b, differ + 1 + spare, spare))
+            if b < own and size > most:  # nor is it in reach of the tiles below
+                break
+            differ = (high + most) * (100 - self.percent) // (100 + self.percent)
+            if differ:  # else only equal sets link, and those are one class
+                spare = 1 if differ < 10 else 2 + differ // 20
+                out.append((b, differ + 1 + spare, spare))
         return out
 
 

@@ -91,6 +91,26 @@ def test_components_need_more_than_the_first_member(frame):
     assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == sorted(models.components(rows, 4, 85))
 
 
+@pytest.mark.parametrize("percent,sizes", [(76, [(61, 80)]), (70, [(5, 7), (22, 29), (70, 100), (350, 500)]), (50, [(3, 6), (10, 20), (33, 65), (200, 400)])])
+def test_components_of_sets_bands_apart(frame, percent, sizes):
+    rows = odd_rows(random.Random(8))
+    for k, (small, large) in enumerate(sizes):
+        own = [f"s{k}x{i}" for i in range(large)]
+        rows += [(100 + k, " ".join(own[:small])), (200 + k, " ".join(own))]
+    got = ngram_join.jaccard_components(frame([(i, t, None, None) for i, t in rows]), 1, percent)
+    got = [tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, models.components(rows, 1, percent)))
+    assert all((200 + k, large, 100 + k) in got for k, (_, large) in enumerate(sizes))
+
+
+def test_sets_that_can_link_share_a_tile():
+    for percent in (10, 50, 70, 76, 77, 85):
+        bands = ngram_join.Bands(percent)
+        for small in [*range(1, 400), 10**4, 10**6 + 1]:
+            for large in {small * 100 // percent, (small + small * 100 // percent) // 2} - {small}:
+                assert {t[0] for t in bands.tiles(small)} & {t[0] for t in bands.tiles(large)}, (percent, small, large)
+
+
 def test_components_of_an_empty_table(frame):
     assert ngram_join.jaccard_components(frame([])).count() == 0
 
