@@ -37,8 +37,14 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     per = found.groupBy("doc_id", "text_hash").agg(F.count_if("is_first").alias("first"), F.count(F.lit(1)).alias("rows"))
     per = materialise(per, "dedup-rows")
     out = _without(docs, per.where("first = 0"), "dedup-gone")
+    repeated = per.where("first > 0 AND first < rows").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    if repeated.isEmpty():
+        return out
+    repeated = bounded(repeated, "dedup-repeated")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
     # rows that repeat an id with its text are alike, so any one of them will do
-    return out if per.where("first > 0 AND first < rows").isEmpty() else out.dropDuplicates(["doc_id", "text"])
+    return out.join(repeated, same, "left_anti").unionByName(
+        out.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

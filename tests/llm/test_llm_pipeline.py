@@ -47,3 +47,12 @@ def test_stages_take_effect(spark, tmp_path):
     assert max(r["count"] for r in held) - min(r["count"] for r in held) <= 1
     crcs = sorted(r["text_crc32"] for r in shards.collect())
     assert crcs == sorted(zlib.crc32((r["text"] or "").encode()) for r in mixed.collect())
+
+
+def test_repeated_rows_go_but_texts_without_words_stay(spark):
+    wordless = [(2, ""), (2, ""), (None, None), (None, None), (None, ""), (None, ""), (3, " \n"), (3, " \n")]
+    rows = [(1, "a text of words"), (1, "a text of words"), (None, "other words"), (None, "other words"), (4, "one more"), *wordless]
+    docs = materialise(spark.createDataFrame(rows, "doc_id bigint, text string"), "test-docs")
+    out = [tuple(r) for r in corpus_pipeline.dedup_stage(spark, docs, "").collect()]
+    want = [(1, "a text of words"), (None, "other words"), (4, "one more"), *wordless]
+    assert sorted(map(str, out)) == sorted(map(str, want))
