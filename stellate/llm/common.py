@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stellate.session import new_scratch_dir
@@ -40,11 +40,30 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 
 def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int,
                     max_rows: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``max_rows`` labelled documents that
-    are not held out; the bound makes the broadcast below safe. The rows are
-    chosen by a hash of the id, so reruns agree."""
+    """(doc_id, text, label) of at most ``max_rows`` rows of labelled documents
+    that are not held out; the bound makes the broadcasts below safe. Ids are
+    chosen by a hash, so reruns agree. If ids repeat so often that their rows
+    pass the bound, each id gives at most an equal number of distinct texts."""
     chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()
                            & ~held_out(F.col("doc_id"), modulus, remainder))
               .select("doc_id", F.col(label).alias("label")).distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    if rows.count() <= max_rows:
+        return rows
+    key, text = ["doc_id", "label"], F.xxhash64("text", F.lit(5))
+    sizes = rows.select(*key, text.alias("_h")).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = materialise(sizes, "sample-sizes")  # at most max_rows
+    held = sorted(r[0] for r in sizes.select("_n").collect())
+    each, left = 0, max_rows
+    for i, n in enumerate(held):  # as many from each id as fit if those with fewer give all
+        each = left // (len(held) - i)
+        if n > each:
+            break
+        left -= n
+        each = n
+    # a few times what is needed by the hash of the text, so that no id's rows fill the window
+    near = F.pmod(text, F.lit(1 << 30)) / float(1 << 30) < F.lit(4.0 * (each + 8)) / F.col("_n")
+    rows = rows.join(F.broadcast(sizes), key).where(near).select("doc_id", "text", "label").dropDuplicates(["doc_id", "text", "label"])
+    order = Window.partitionBy(*key).orderBy(text, "text")
+    return rows.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= each).drop("_k")

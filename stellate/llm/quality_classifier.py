@@ -132,11 +132,15 @@ def _feature_rows(rows: DataFrame) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_trusted: int = 8000, max_unlabelled: int = 8000) -> Scorer | None:
-    """``max_unlabelled`` is met in the mean: a hash of id and text picks the share."""
+    """``max_unlabelled`` is met in the mean: a hash of id and text picks the
+    share, and if a repeated row brings in too many, a second draw by row."""
     spark = docs.sparkSession
     trusted = labelled_sample(spark, docs, labels.where("quality = 1"), "quality", 3, 1, max_trusted)
     share = min(1.0, max_unlabelled / max(1, docs.count()))
     web = docs.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    drawn = web.count()
+    if drawn > 2 * max_unlabelled:
+        web = web.where(F.rand(3) < max_unlabelled / drawn)
     pos, unl = _feature_rows(trusted), _feature_rows(web)
     if not len(pos) or not len(unl):
         return None

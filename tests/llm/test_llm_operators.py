@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stellate.llm import (decontamination, language_id, mixing, ngram_join, quality_classifier, quality_rules, sharding,
+from stellate.llm import (common, decontamination, language_id, mixing, ngram_join, quality_classifier, quality_rules, sharding,
                           token_counts, toxicity, warc)
 
 DOCS = "doc_id bigint, text string, lang string, source string"
@@ -287,6 +287,28 @@ def labelled(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int").withColumn("text", F.lit("other"))
 
 
+@pytest.mark.parametrize("hot_texts", [1, 3000])
+def test_labelled_sample_is_bounded_in_rows(spark, hot_texts):
+    docs = spark.createDataFrame([(i, f"text {i} {k}") for i in range(60) for k in range(2)] +
+                                 [(77, f"hot {i % hot_texts}") for i in range(4000)], "doc_id bigint, text string")
+    labels = labelled(spark, [(i, 1, 0) for i in [*range(60), 77]])
+    sample = lambda n: [r["doc_id"] for r in common.labelled_sample(spark, docs, labels, "toxic", 10**9, 1, n).collect()]
+    found = sample(200)
+    assert len(found) == (121 if hot_texts == 1 else 200) and all(found.count(i) == 2 for i in range(60))
+    found = sample(61)
+    assert len(found) == 61 == len(set(found))
+    assert len(sample(5000)) == 4120
+
+
+def test_unlabelled_sample_is_bounded_in_rows(spark, frame, monkeypatch):
+    collected, rows = [], quality_classifier._feature_rows
+    monkeypatch.setattr(quality_classifier, "_feature_rows", lambda df: collected.append(rows(df)) or collected[-1])
+    for i in range(6):  # by chance the repeated row is in the first draw or not
+        docs = frame([(-1 - i, "the same again", None, None)] * 3000 + [(k, f"text {k} of many", None, None) for k in range(1000)])
+        quality_classifier.train(docs, labelled(spark, [(k, 1, 0) for k in range(0, 1000, 9)]), 100, 1500)
+    assert max(map(len, collected)) <= 3000 and max(map(len, collected)) > 1000
+
+
 def test_grammar_scores_clauses():
     g = toxicity.Grammar({"idiot": 2.0}, {"schwach": 1.0})
     assert g.clause("you are an idiot".split())[0] == 3.0
