@@ -67,3 +67,16 @@ def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, lab
     rows = rows.join(F.broadcast(sizes), key).where(near).select("doc_id", "text", "label").dropDuplicates(["doc_id", "text", "label"])
     order = Window.partitionBy(*key).orderBy(text, "text")
     return rows.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= each).drop("_k")
+
+
+def sql_crc32(text: str) -> str:
+    """DuckDB expression for the unsigned crc32 of a text's UTF-8 bytes (DuckDB
+    has no such function); the query must also read ``crc_table``, the CTE below."""
+    octets = f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: CAST('0x' || substr(hex({text}), 2 * i - 1, 2) AS BIGINT))"
+    step = "lambda c, b: xor(c >> 8, crc_t[xor(c & 255, b) + 1])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), {step}), CAST(4294967295 AS BIGINT))"
+
+
+SQL_CRC_TABLE = """crc_table AS (SELECT list(x ORDER BY i) AS crc_t FROM (SELECT i, list_reduce(
+    list_prepend(CAST(i AS BIGINT), [CAST(0 AS BIGINT) FOR k IN range(8)]), lambda c, z: xor(c >> 1, 3988292384 * (c & 1))) AS x
+    FROM range(256) AS r(i)))"""

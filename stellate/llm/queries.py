@@ -3,7 +3,8 @@ queries over the whole given tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from stellate.llm import decontamination, language_id, mixing, ngram_join, quality_classifier, quality_rules, sharding, token_counts, toxicity, warc
+from stellate.llm import (decontamination, fingerprints, language_id, mixing, ngram_join, prefix_trie, quality_classifier, quality_rules, sharding,
+                          spelling, token_counts, toxicity, warc)
 from stellate.llm.common import table
 
 
@@ -50,6 +51,18 @@ def op8_warc(spark, sf_dir):
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark, sf_dir):
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op8_warc": op8_warc,
     "op5_language_id": op5_language_id,
@@ -61,5 +74,9 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op10_decontamination": op10_decontamination,
     "op9_quality_rules": op9_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_spelling": op13_spelling,
 }
-ORACLE = {"op10_decontamination": decontamination.ORACLE, "op9_quality_rules": quality_rules.ORACLE}
+ORACLE = {"op10_decontamination": decontamination.ORACLE, "op9_quality_rules": quality_rules.ORACLE, "op11_prefix_trie": prefix_trie.ORACLE,
+          "op12_fingerprints": fingerprints.ORACLE, "op13_spelling": spelling.ORACLE}

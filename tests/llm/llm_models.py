@@ -1,7 +1,9 @@
 """Plain Python models that the operators are held against."""
 
 import hashlib
+import math
 import re
+import zlib
 
 
 def blank_words(text):
@@ -81,3 +83,63 @@ def targets(sizes, weights=(5, 2, 1), share=1.5, cap=2):
         if not over:
             return {**want, **{s: cap * sizes[s] for s in full}}
         full |= over
+
+
+def rebuilt_conversations(rows):
+    own = {}
+    for c, t, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((t is not None, t or 0, role or "", text or ""))
+    turns = {c: [x[2:] for x in sorted(v)] for c, v in own.items()}
+    out = {}
+    for c in turns:
+        h, base = zlib.crc32(str(c).encode()) % 4, c - int(math.fmod(c, 20))
+        out[c] = turns.get(base, [])[:h] + turns[c][h:]
+    return out
+
+
+def prefix_trie(rows):
+    conv = rebuilt_conversations(rows)
+    members, children, leaves, saved = {}, {}, {}, {}
+    for c in sorted(conv):
+        for d in range(len(conv[c]) + 1):
+            members.setdefault(tuple(conv[c][:d]), []).append(c)
+    for n in members:
+        if n:
+            children.setdefault(n[:-1], []).append(n)
+    for n in sorted(members, key=len, reverse=True):
+        below = children.get(n, [])
+        leaves[n] = sum(leaves[k] for k in below) if below else 1
+        saved[n] = (len(members[n]) - 1) * (len(blank_words(n[-1][1])) if n else 0) + sum(saved[k] for k in below)
+    ends = lambda n: ",".join(str(c) for c in members[n] if len(conv[c]) == len(n))
+    return [(m[0], len(n), members[n[:-1]][0] if n else None, len(m), len(children.get(n, [])), leaves[n], saved[n],
+             hashlib.sha256(ends(n).encode()).hexdigest()) for n, m in members.items()]
+
+
+def spelling(rows, least=7, often=2):
+    counts = {}
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = fold(run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] = counts.get(run, 0) + 1
+    words = {w: n for w, n in counts.items() if len(w) >= least and n >= often}
+    near = {w: [x for x in words if one_letter_apart(w, x)] for w in words}
+    form = {}
+    for w in words:
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best and words[best] >= 10 * words[w] else None
+
+    def root(w):
+        return root(form[w]) if form[w] else w
+
+    return [(w, form[w], root(w), n, len(near[w]), words.get(form[w])) for w, n in words.items()]
+
+
+def one_letter_apart(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
