@@ -11,9 +11,10 @@ from stellate.operators.lookups import bounded_broadcast
 
 
 class ConstraintViolation(Exception):
-    def __init__(self, message: str, sqlstate: str = "23505"):
+    def __init__(self, message: str, sqlstate: str = "23505", violations: int | None = None):
         super().__init__(message)
         self._sqlstate = sqlstate
+        self.violations = violations
 
     def getSqlState(self) -> str:  # noqa: N802
         return self._sqlstate

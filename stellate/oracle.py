@@ -298,3 +298,16 @@ WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBIL
 
 # Same rows as the plain merge: only the physical layout of the fact differs.
 ORACLE["merge_fact_partitioned"] = ORACLE["merge_fact"]
+_EMPTY = "CASE payment_mode WHEN 'R' THEN '' WHEN 'A' THEN NULL ELSE transaction_date END AS transaction_date"
+ORACLE["merge_fact_empty_dates"] = (
+    ORACLE["merge_fact"].replace("sa AS (SELECT * FROM st", f"sa AS (SELECT * REPLACE ({_EMPTY}) FROM st")
+    .replace("sb AS (SELECT transaction_id, transaction_date,", f"sb AS (SELECT transaction_id, {_EMPTY},")
+    .replace("FROM st WHERE transaction_date", "FROM st WHERE st.transaction_date"))
+ORACLE["enforced_constraints"] = f"""WITH cu AS (SELECT * FROM ({CUSTOMER}) x WHERE customer_type <> 'BUILDING'), s AS ({SALES}),
+  a AS (SELECT count(*) AS fact_rows, count(DISTINCT s.customer_id) FILTER (s.customer_id IN (SELECT customer_id FROM cu)) AS used,
+               count(*) FILTER (s.payment_mode = 'R') AS wrong FROM s)
+SELECT attempt, sqlstate, CAST(violations AS BIGINT) AS violations, fact_rows, CAST(first_customer_key AS BIGINT) AS first_customer_key FROM (
+  SELECT 'a dimension loaded anew without the fact' AS attempt, '23503' AS sqlstate, used AS violations, fact_rows, 1 AS first_customer_key FROM a
+  UNION ALL SELECT 'merged rows with unknown keys', '23503', wrong, fact_rows, 1 FROM a
+  UNION ALL SELECT 'a group whose third job fails', '42703', 0, fact_rows, 1 FROM a
+  UNION ALL SELECT 'a group of full loads', '00000', 0, fact_rows, (SELECT count(*) FROM cu) + 1 FROM a)"""

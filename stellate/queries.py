@@ -24,10 +24,10 @@ from stellate.operators.checks import (fk_violations, merge_cardinality_violatio
 from stellate.operators.keys import assign_dense_keys
 from stellate.operators.nested import child_rows, explode_list
 from stellate.plans import reports as R
-from stellate.plans.audit import create_error_log, error_summary, run_logged
+from stellate.plans.audit import create_error_log, error_summary, run_logged, sqlstate_of
 from stellate.plans.loads import fact_source, full_load, merge_load, truncate, write_fact_with_keys
 from stellate.plans.partitioned import merge_partitioned, month_of, publish_partitioned
-from stellate.plans.jobs import run_group, run_warehouse
+from stellate.plans.jobs import merge_sales_by_month, run_group, run_warehouse
 from stellate.plans.star import build_star
 from stellate.plans.warehouse import COUNTRY, CUSTOMER, PRODUCT, SALES, fact_with_keys
 from stellate.session import new_scratch_dir
@@ -257,8 +257,7 @@ def full_load_fact(spark, sf_dir):
     t = si.tables(spark, sf_dir)
     store = _star_store(spark, t, "fullfact")
     build_star(store, verify=False)
-    for spec in (COUNTRY, CUSTOMER, PRODUCT, SALES):
-        full_load(store, spec)
+    run_group(store, "fullload")
     return _key_check(store.read(SALES.qualified).drop(*LINEAGE), SALES.key_column)
 
 
@@ -311,6 +310,54 @@ def merge_fact_partitioned(spark, sf_dir):
     return _key_check(store.read(SALES.qualified).drop(*LINEAGE), SALES.key_column)
 
 
+def merge_fact_empty_dates(spark, sf_dir):
+    """The fact's merge job on sales whose dates are empty (returned ones) or
+    NULL (accepted ones): these rows live in partitions of their own."""
+    t = si.tables(spark, sf_dir)
+    s = si.sales(t).withColumn("day", F.col("transaction_date")).withColumn("transaction_date", F.when(F.col("payment_mode") == "R", "").when(
+        F.col("payment_mode") != "A", F.col("transaction_date")))
+    store = _star_store(spark, t, "mergeempty", s.filter(F.col("day") < SALES_A_BEFORE).drop("day"))
+    build_star(store)
+    stage(store, "sales_transactions", s.filter(F.col("day") >= SALES_B_FROM).withColumn("payment_mode", F.lower("payment_mode")).drop("day"))
+    merge_sales_by_month(store)
+    return _key_check(store.read(SALES.qualified).drop(*LINEAGE), SALES.key_column)
+
+
+def enforced_constraints(spark, sf_dir):
+    """What loads may not do to a published star, one row a try: SQLSTATE,
+    violations, then the fact's rows and the first customer key afterwards."""
+    store = _star_store(spark, si.tables(spark, sf_dir), "enforced")
+    build_star(store)
+    wrong = F.when(F.col("payment_mode") == "R", F.col("product_key") + 1_000_000_000).otherwise(F.col("product_key"))
+
+    def wrong_keys():
+        publish_partitioned(store, SALES.qualified, None, month_of())
+        merge_partitioned(store, SALES, fact_source(store).withColumn("product_key", wrong.cast("long")), month_of())
+
+    def failing_group():
+        staged = store.read("staging.product")
+        store.replace("staging.product", staged.withColumnRenamed("product_name", "title"))
+        try:
+            run_group(store, "fullload")  # the third job finds no product_name
+        finally:
+            store.replace("staging.product", staged)
+
+    tries = {"a dimension loaded anew without the fact": lambda: full_load(store, CUSTOMER), "merged rows with unknown keys": wrong_keys,
+             "a group whose third job fails": failing_group, "a group of full loads": lambda: run_group(store, "fullload")}
+    out = None
+    for what, attempt in tries.items():
+        state, n = "00000", 0
+        try:
+            attempt()
+        except Exception as e:
+            state, n = sqlstate_of(e), getattr(e, "violations", None) or 0
+        rows = store.read(SALES.qualified).agg(F.count(F.lit(1)).alias("fact_rows")).crossJoin(
+            store.read(CUSTOMER.qualified).agg(F.min("customer_key").cast("long").alias("first_customer_key")))  # one row each
+        rows = rows.select(F.lit(what).alias("attempt"), F.lit(state).alias("sqlstate"), F.lit(n).cast("long").alias("violations"), "*")
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
 def merge_null_keys(spark, sf_dir):
     t = si.tables(spark, sf_dir)
     store = _store(spark, "mergenull")
@@ -632,6 +679,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fk_violations": fk_violations_q,
     "required_columns": required_columns,
     "full_load_dim": full_load_dim,
+    "merge_fact_empty_dates": merge_fact_empty_dates,
+    "enforced_constraints": enforced_constraints,
     "full_load_fact": full_load_fact,
     "truncate_table": truncate_table,
     "merge_dim": merge_dim,
