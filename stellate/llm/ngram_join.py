@@ -341,21 +341,32 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent
     return materialise(both.select("a", "b", "x", "y").mapInArrow(exact, "a bigint, b bigint"), "links")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(uid, comp): the smallest uid reachable, for every uid of an edge.
-    Smallest neighbour labels and pointer jumping, a few aggregations a round."""
-    ways = materialise(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
-    labels = materialise(ways.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "uid"), "cc-labels")
-    for _ in range(max_rounds):
-        near = ways.join(labels, ways.b == labels.uid).groupBy("a").agg(F.min("comp").alias("m"))
-        new = labels.join(near, labels.uid == near.a).select("uid", F.least("comp", "m").alias("comp"), F.col("comp").alias("old"))
-        jump = labels.select(F.col("uid").alias("_u"), F.col("comp").alias("_c"))
-        new = materialise(new.join(jump, F.col("comp") == F.col("_u"), "left").select(
-            "uid", F.least("comp", F.coalesce("_c", "comp")).alias("comp"), "old"), "cc-labels")
-        labels = new.select("uid", "comp")
-        if new.where("comp <> old").isEmpty():
-            return labels
-    raise RuntimeError("components did not settle")
+
+    Each round hooks every component to the least of its neighbours, follows
+    these hooks to their ends by doubling, and contracts the edges to the new
+    components. A component that has an edge left joins at least one other, so
+    the components at least halve: rounds are logarithmic, chains included."""
+    links = materialise(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-links")
+    labels = None
+    while not links.isEmpty():
+        near = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("m"))
+        hooks = materialise(near.select(F.col("a").alias("uid"), F.least("a", "m").alias("to")), "cc-hooks")
+        while True:
+            ahead = hooks.select(F.col("uid").alias("_u"), F.col("to").alias("_t"))
+            far = materialise(hooks.join(ahead, F.col("to") == F.col("_u")).select("uid", F.col("_t").alias("to"), (F.col("_t") != F.col("to")).alias("moved")), "cc-hooks")
+            hooks = far.select("uid", "to")
+            if far.where("moved").isEmpty():
+                break
+        step = hooks.select(F.col("uid").alias("comp"), "to")
+        labels = hooks.select("uid", F.col("to").alias("comp")) if labels is None else materialise(
+            labels.join(step, "comp", "left").select("uid", F.coalesce("to", "comp").alias("comp")), "cc-labels")
+        ends = [step.select(F.col("comp").alias(c), F.col("to").alias("_" + c)) for c in "ab"]
+        links = links.join(ends[0], "a").join(ends[1], "b").where("_a <> _b").select(
+            F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+        links = materialise(links.distinct(), "cc-links")
+    return edges.select(F.col("a").alias("uid"), F.col("a").alias("comp")).limit(0) if labels is None else labels
 
 
 def _across_components(groups: DataFrame, members: DataFrame, sets: DataFrame, percent: int, tile_rows: int) -> DataFrame:
