@@ -27,6 +27,8 @@ multiset of results agrees between runs); an empty table gives an empty mix.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,15 +66,16 @@ def source_targets(sized: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap:
                       .alias("target"))
 
 
-def solve_tilts(sized: DataFrame, targets: DataFrame, cap: int = 2, tolerance: float = 1e-7, max_steps: int = 60) -> DataFrame:
-    """(source, scale, tilt): the dual's solution, by safeguarded Newton steps."""
+def solve_tilts(sized: DataFrame, targets: DataFrame, cap: int = 2, tolerance: float = 1e-7) -> DataFrame:
+    """(source, scale, tilt): the dual's solution, by safeguarded Newton steps.
+    Every third step halves the bracket instead, so it closes and no tilt is left unsolved."""
     counts = materialise(sized.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-sizes")
     state = counts.groupBy("source").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("scale")).join(
         targets.select(F.col("source").alias("_s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     full = F.col("target") >= F.col("source_size") * float(cap)
     state = materialise(state.select("source", "scale", "target", full.alias("full"), F.lit(0.0).alias("tilt"),
                                      F.lit(-1e6).alias("lo"), F.lit(1e6).alias("hi"), F.lit(False).alias("done")), "mix-tilts")
-    for _ in range(max_steps):
+    for turn in count():
         if state.where(~F.col("full") & ~F.col("done")).isEmpty():
             break
         x = F.col("size") / F.col("scale")
@@ -86,10 +89,10 @@ def solve_tilts(sized: DataFrame, targets: DataFrame, cap: int = 2, tolerance: f
         gap = F.col("got") - F.col("target")
         lo, hi = F.when(gap < 0, F.col("tilt")).otherwise(F.col("lo")), F.when(gap > 0, F.col("tilt")).otherwise(F.col("hi"))
         step = F.col("tilt") - gap / F.when(F.col("slope") > 0, F.col("slope"))
-        moved = F.when((step > lo) & (step < hi), step).otherwise(F.when(lo < -1e5, F.least(hi * 2 - 1, F.lit(-1.0)))
+        moved = F.when((step > lo) & (step < hi) & F.lit(turn % 3 < 2), step).otherwise(F.when(lo < -1e5, F.least(hi * 2 - 1, F.lit(-1.0)))
                                                                   .when(hi > 1e5, F.greatest(lo * 2 + 1, F.lit(1.0)))
                                                                   .otherwise((lo + hi) / 2))
-        done = (F.abs(gap) <= tolerance * F.col("target") + 0.5) | (hi - lo < 1e-12)
+        done = (F.abs(gap) <= tolerance * F.col("target") + 0.5) | (hi - lo <= 1e-12 * F.greatest(F.lit(1.0), F.abs(lo), F.abs(hi)))
         state = materialise(sums.select("source", "scale", "target", "full", F.when(done | F.col("full"), F.col("tilt")).otherwise(moved)
                                         .alias("tilt"), lo.alias("lo"), hi.alias("hi"), done.alias("done")), "mix-tilts")
     return state.select("source", "scale", F.when(F.col("full"), F.lit(1e9)).otherwise(F.col("tilt")).alias("tilt"))
