@@ -5,8 +5,10 @@ characters of lower-cased letters, words padded by blanks). A sparse
 multinomial logistic regression is trained by follow-the-regularised-leader
 (per-coordinate steps; the L1 part of the elastic net keeps weights at zero,
 the L2 part shrinks them), then a temperature is fitted on a tenth of the
-sample. Training sees at most ``max_labelled`` rows with a known language;
-every text is classified whole.
+sample. Training sees about ``max_labelled`` distinct texts with a known
+language, each language an equal share or all it has, so a rare language is
+learned from a table of any size; document frequencies count all texts that
+may be learned from. Every text is classified whole.
 
 Defined cases: a NULL text or one without a letter is ``und`` with score 0;
 rows without a language are not learned from; without any usable row every
@@ -33,7 +35,7 @@ DIM = 1 << 15
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, counts) of a text's hashed n-grams; empty without letters."""
     kept = _OTHER.sub(" ", text.lower()).strip() if text else ""
-    if not kept:
+    if not any(map(str.isalpha, kept)):  # figures such as a raised 2 are no letters
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     c = np.frombuffer(f" {kept} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     two = c[:-1] * np.uint64(0x1F123BB5) + c[1:]
@@ -80,9 +82,17 @@ def train(docs: DataFrame, max_labelled: int = 3000, epochs: int = 3):
     """(languages, weights, idf, temperature), or None without usable rows."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                        & ~held_out(F.col("doc_id"), 4, 2))
-    share = min(1.0, max_labelled / max(1, known.select("doc_id").count()))
-    # a hash of the id and text picks about max_labelled rows
-    picked = known.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(9)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    text = F.xxhash64("text", F.lit(9))
+    sizes = sorted((r["n"], r["lang"]) for r in known.groupBy("lang").agg(F.approx_count_distinct(text, 0.02).alias("n")).collect())  # one row a language
+    share, left = {}, max_labelled
+    for i, (n, lang) in enumerate(sizes):  # those with fewer texts give all of them
+        take = min(n, left // (len(sizes) - i))
+        share[lang], left = take / max(1, n), left - take
+    if not share:
+        return None
+    # a hash of the text picks each language's share; repeated texts come once
+    limit = F.create_map(*[F.lit(x) for lang, s in share.items() for x in (lang, int(s * (1 << 30)) + 1)])
+    picked = known.where(F.pmod(text, F.lit(1 << 30)) < F.element_at(limit, F.col("lang"))).select("lang", "text", text.alias("_h")).dropDuplicates(["lang", "_h"])
 
     def make(batches):
         for batch in batches:
@@ -90,6 +100,14 @@ def train(docs: DataFrame, max_labelled: int = 3000, epochs: int = 3):
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([a.astype("<i4").tobytes() for a, _ in found], pa.binary()),
                                               pa.array([c.astype("<i4").tobytes() for _, c in found], pa.binary())], names=["lang", "at", "n"])
 
+    def frequencies(batches):
+        held = np.zeros(DIM, np.int64)
+        for batch in batches:
+            for t in batch.column("text").to_pylist():
+                held[ngrams(t)[0]] += 1
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(held[at], pa.int64())], names=["at", "n"])
+
     rows = picked.select("lang", "text").mapInArrow(make, "lang string, at binary, n binary").collect()  # bounded, sparse
     rows = sorted((r["lang"], bytes(r["at"]), bytes(r["n"])) for r in rows if r["at"])
     if not rows:
@@ -98,9 +116,9 @@ def train(docs: DataFrame, max_labelled: int = 3000, epochs: int = 3):
     order = np.random.default_rng(3).permutation(len(rows))
     data = [(np.frombuffer(rows[i][1], "<i4"), np.frombuffer(rows[i][2], "<i4"), languages.index(rows[i][0])) for i in order]
     df = np.zeros(DIM)
-    for at, _, _ in data:
-        df[at] += 1
-    idf = np.log((1 + len(data)) / (1 + df)) + 1
+    for r in known.select("text").mapInArrow(frequencies, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():  # DIM rows at most
+        df[r["at"]] = r["n"]
+    idf = np.log((1 + known.select("doc_id").count()) / (1 + df)) + 1
     rest = max(1, len(data) // 10)
     model = FollowTheLeader(len(languages))
     for _ in range(epochs):
