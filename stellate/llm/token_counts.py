@@ -9,9 +9,12 @@ bytes, ties to the earlier span), ``first`` or ``last``.
 
 Lines (with their line break) are the default sections: their counts add up
 to the document's tokens. Other spans may leave gaps, whose tokens count
-nowhere; spans must not overlap.
+nowhere. Spans may come in any order and their counts keep it; bounds beyond
+the text are cut to it; where spans overlap the common part is the one's that
+starts first (then: ends first, comes first).
 
-Defined cases: NULL and empty texts have no tokens and no sections; repeated
+Defined cases: a NULL array has no spans; a NULL span, one with a NULL bound
+or one that is empty or backward gets 0 tokens; NULL and empty texts have no tokens and no sections; repeated
 rows and NULL ids give one result row each; other columns are ignored.
 """
 
@@ -78,6 +81,18 @@ def attribute(ends: np.ndarray, starts_of: np.ndarray, ends_of: np.ndarray, rule
     return out, crossing
 
 
+def ordered_spans(spans: list, chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, starts, ends) of the spans that hold something, in order and disjoint."""
+    found, covered = [], 0
+    known = [(s["start"], s["end"], k) for k, s in enumerate(spans) if s and s["start"] is not None and s["end"] is not None]
+    for a, b, k in sorted((max(0, a), min(chars, b), k) for a, b, k in known):
+        a = max(a, covered)
+        if a < b:
+            found.append((k, a, b))
+            covered = b
+    return tuple(np.array([f[i] for f in found], np.int64) for i in range(3))
+
+
 def line_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10) + 1
     ends = breaks if len(breaks) and breaks[-1] == len(data) else np.append(breaks, len(data))
@@ -87,7 +102,7 @@ def line_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def token_counts(docs: DataFrame, spans: str | None = None, rule: str = "largest", vocabulary: str = VOCABULARY,
                  pattern: str = PATTERN) -> DataFrame:
     """(doc_id, n_tokens, n_sections, n_crossing, section_tokens) per row.
-    ``spans`` names a column of sorted disjoint character spans
+    ``spans`` names a column of character spans
     (array<struct<start, end>>); by default sections are the lines."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
@@ -102,11 +117,12 @@ def token_counts(docs: DataFrame, spans: str | None = None, rule: str = "largest
             for i, text in enumerate(batch.column("text").to_pylist()):
                 ends = encoder.token_ends(text) if text else np.zeros(0, np.int64)
                 if given is not None:
-                    own = given[i] or []
-                    a, b = (byte_offsets(text or "", np.array([s[k] for s in own], np.int64)) for k in ("start", "end"))
+                    places, a, b = ordered_spans(given[i] or [], len(text or ""))
+                    found = np.zeros(len(given[i] or []), np.int64)
+                    found[places], over = attribute(ends, byte_offsets(text or "", a), byte_offsets(text or "", b), rule)
                 else:
                     a, b = line_spans(text.encode()) if text else (ends, ends)
-                found, over = attribute(ends, a, b, rule)
+                    found, over = attribute(ends, a, b, rule)
                 tokens.append(len(ends))
                 crossing.append(over)
                 sections.append(found)
