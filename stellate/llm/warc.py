@@ -69,6 +69,16 @@ def _fs(path: str):
     return fs.LocalFileSystem(), path
 
 
+def _qualified(spark, path: str) -> str:
+    """The path with the scheme under which Spark's executors resolve it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+#: Records that a lookup holds at once.
+AT_ONCE = 64
+
+
 def _record_id(page_id) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, str(page_id))}>"
 
@@ -212,22 +222,12 @@ def _records(read: _Reader, entries: list[dict], payloads: bool):
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [()] * 7, schema)], schema=schema)
 
 
-def read_all(directory: DataFrame, archives: str, index: str, payloads: bool = False) -> DataFrame:
-    """Every record, read back through the index block by block."""
-    def read(batches):
-        blocks, records = _Reader(index), _Reader(archives)
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield _records(records, [e for _, e in _block(blocks, row)], payloads)
-
-    n = directory.sparkSession.sparkContext.defaultParallelism
-    return directory.repartition(max(n, int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(read, RECORD_SQL)
-
-
 def lookup(urls: DataFrame, directory: DataFrame, archives: str, index: str, payloads: bool = True) -> DataFrame:
     """Records of the captures of each distinct ``url``. The files' key ranges
     (one row per index file, so bounded by the partitions of the sort) tell a
-    key's files; each task reads the directories of its files only."""
+    key's files, the directory of a file its blocks, both by binary search;
+    then every block that holds a key is read and searched on its own, so the
+    captures of a hot url are read by many tasks."""
     files = directory.groupBy("file").agg(F.min("first").alias("low"), F.max("last").alias("high"),
                                           F.sort_array(F.collect_list(F.struct("offset", "first", "last", "length"))).alias("blocks"))
     ranges = sorted(tuple(r) for r in files.select("low", "high", "file").collect())
@@ -245,29 +245,45 @@ def lookup(urls: DataFrame, directory: DataFrame, archives: str, index: str, pay
 
     asked = urls.select("url").mapInArrow(keys, "f string, key string").groupBy("f").agg(F.sort_array(F.collect_set("key")).alias("keys"))
 
-    def find(batches):
-        blocks, records = _Reader(index), _Reader(archives)
+    def search(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                lasts, found, seen = [b["last"] for b in row["blocks"]], [], {}
+                lasts, found = [b["last"] for b in row["blocks"]], []
                 for key in row["keys"]:
                     k = bisect.bisect_left(lasts, key)
                     while k < len(lasts) and row["blocks"][k]["first"] <= key:
-                        if k not in seen:
-                            seen = {k: _block(blocks, {**row["blocks"][k], "file": row["file"]})}
-                        at = bisect.bisect_left(seen[k], key, key=lambda x: x[0])
-                        while at < len(seen[k]) and seen[k][at][0] == key:
-                            found.append(seen[k][at][1])
-                            at += 1
+                        found.append((row["file"], row["blocks"][k]["offset"], row["blocks"][k]["length"], key))
                         k += 1
-                yield _records(records, found, payloads)
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))],
+                                                 names=["file", "offset", "length", "key"])
+
+    def read(batches):
+        blocks, records = _Reader(index), _Reader(archives)
+        for batch in batches:
+            for row in batch.to_pylist():
+                lines, found = _block(blocks, row), []
+                for key in row["keys"]:
+                    at = bisect.bisect_left(lines, key, key=lambda x: x[0])
+                    while at < len(lines) and lines[at][0] == key:
+                        found.append(lines[at][1])
+                        at += 1
+                        if len(found) == AT_ONCE:
+                            yield _records(records, found, payloads)
+                            found = []
+                if found:
+                    yield _records(records, found, payloads)
 
-    return files.join(asked, F.col("file") == F.col("f")).select("file", "blocks", "keys").mapInArrow(find, RECORD_SQL)
+    spark = urls.sparkSession
+    places = files.join(asked, F.col("file") == F.col("f")).select("file", "blocks", "keys").mapInArrow(search, "file string, offset bigint, length bigint, key string")
+    places = materialise(places.groupBy("file", "offset", "length").agg(F.sort_array(F.collect_set("key")).alias("keys")), "warc-places")
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return places.repartition(n).mapInArrow(read, RECORD_SQL)
 
 
 def archive_round_trip(pages: DataFrame, min_revisit_bytes: int = 0, payloads: bool = False) -> DataFrame:
-    """Write archives and index below the shared scratch folder, read all records back."""
-    root = new_scratch_dir(pages.sparkSession, "warc")
+    """Write archives and index below the shared scratch folder, then look the
+    captures of every page's url up in the index and read their records back."""
+    root = _qualified(pages.sparkSession, new_scratch_dir(pages.sparkSession, "warc"))
     captures = write_archives(pages, f"{root}/archives", min_revisit_bytes)
     directory = write_index(captures, f"{root}/index")
-    return read_all(directory, f"{root}/archives", f"{root}/index", payloads)
+    return lookup(pages.select("url").distinct(), directory, f"{root}/archives", f"{root}/index", payloads)
