@@ -68,6 +68,37 @@ def test_quality_order_does_not_change_verdicts(frame):
 
 # 7: n-gram join
 
+@pytest.mark.parametrize("n,order", [(3000, "random"), (3000, "sorted"), (40, "star")])
+def test_components_settle_in_few_rounds(spark, monkeypatch, n, order):
+    """Chains in any order of their ids, beside a few pairs."""
+    ids = list(range(n))
+    if order == "random":
+        random.Random(9).shuffle(ids)
+    edges = [(ids[0], ids[i]) for i in range(1, n)] if order == "star" else list(zip(ids, ids[1:]))
+    edges += [(n + 1, n + 2), (n + 5, n + 4), (n + 4, n + 5), (n + 9, n + 9)]
+    rounds, real = [], ngram_join.materialise
+    monkeypatch.setattr(ngram_join, "materialise", lambda df, tag, **o: rounds.append(tag) or real(df, tag, **o))
+    got = {r["uid"]: r["comp"] for r in ngram_join.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    want = {**{i: 0 for i in range(n)}, n + 1: n + 1, n + 2: n + 1, n + 4: n + 4, n + 5: n + 4}
+    assert {k: v for k, v in got.items() if k != n + 9} == want
+    print(order, rounds.count("cc-links"), "rounds,", len(rounds), "tables")
+    assert rounds.count("cc-links") < 20
+
+
+def test_a_chain_of_near_copies_is_one_component(spark):
+    """Each text is linked with the next one only."""
+    rng = random.Random(10)
+    stream = [f"w{k}" for k in range(300 * 6 + 100)]
+    rows = [(i, " ".join(stream[6 * i:6 * i + 100])) for i in range(300)]
+    rng.shuffle(rows)
+    out = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["component_id"] for r in out.collect()} == {0}
+
+
+def test_components_of_no_edges(spark):
+    assert ngram_join.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
 @pytest.mark.parametrize("n,percent,tile", [(4, 85, 512), (5, 80, 8)])
 def test_components_follow_all_pairs(frame, n, percent, tile):
     rows = odd_rows(random.Random(3))
@@ -363,7 +394,7 @@ def test_class_prior():
 def test_languages(frame):
     rng = random.Random(15)
     letters = {"xx": "abcde", "yy": "fghij", "zz": "éüñøß"}
-    rows = [(None, None, "xx", None), (-1, "", "xx", None), (-2, "123 ... 4", "yy", None), (-3, "abc", None, None)]
+    rows = [(None, None, "xx", None), (-1, "", "xx", None), (-2, "123 ² ½ ① 4", "yy", None), (-3, "abc", None, None)]
     rows += [(i, " ".join("".join(rng.choice(letters[g]) for _ in range(5)) for _ in range(20)).title(), g, None)
              for i, g in enumerate(rng.choices(list(letters), k=300))]
     out = {r["doc_id"]: r for r in language_id.identify(frame(rows)).collect()}
@@ -373,6 +404,23 @@ def test_languages(frame):
     assert nothing[0]["lang_pred"] == "und" and language_id.identify(frame([])).count() == 0
 
 
+def test_rare_languages_and_repeated_rows(spark):
+    rng = random.Random(17)
+    make = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(15))
+    rows = [(i, make("abcde"), "xx") for i in range(1500)] + [(4000 + i, make("fghij"), "yy") for i in range(6)]
+    rows += [(1, rows[1][1], "xx")] * 1500  # one row over half of the table
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    languages, w, idf, _ = language_id.train(docs, max_labelled=40)
+    assert languages == ["xx", "yy"]
+    known = [t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    seen = np.zeros(language_id.DIM)
+    for t in known:
+        seen[language_id.ngrams(t)[0]] += 1
+    assert np.allclose(idf, np.log((1 + len(known)) / (1 + seen)) + 1)  # counted over all texts
+    out = language_id.identify(docs, max_labelled=40).where("doc_id >= 4000").collect()
+    assert {r["lang_pred"] for r in out} == {"yy"}
+
+
 # 6: token counts
 
 def test_token_counts_add_up(spark, frame):
@@ -414,6 +462,28 @@ def test_tokens_of_given_fields(spark):
         token_counts.token_counts(df, rule="middle")
 
 
+def test_tokens_of_odd_spans(spark):
+    text = "one two three, vier fünf"
+    spans = [(14, 99), (4, 8), None, (None, 3), (2, 2), (9, 5), (-5, 4), (6, 14)]
+    rows = [(1, text, spans), (2, text, None), (3, None, spans), (4, "", []), (5, text, [])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, f array<struct<start:bigint,end:bigint>>")
+    out = {r["doc_id"]: r for r in token_counts.token_counts(df, spans="f", rule="first").collect()}
+    with open(token_counts.VOCABULARY, "rb") as f:
+        encoder = token_counts.Encoder(f.read(), token_counts.PATTERN)
+    # by hand: what is left of the spans, in order, then each token to the first that it touches
+    left = {6: (0, 4), 1: (4, 8), 7: (8, 14), 0: (14, len(text))}
+    want, begin = [0] * len(spans), 0
+    for token in encoder.encoding.encode_ordinary(text):
+        end = begin + len(encoder.encoding.decode_single_token_bytes(token))
+        chars = len(text.encode()[:begin].decode(errors="ignore")), len(text.encode()[:end].decode(errors="ignore"))
+        touched = [k for k, (a, b) in left.items() if max(a, chars[0]) < min(b, chars[1])]
+        if touched:
+            want[touched[0]] += 1
+        begin = end
+    assert out[1]["section_tokens"] == want and sum(want) == out[1]["n_tokens"]
+    assert [out[k]["section_tokens"] for k in (2, 3, 4, 5)] == [[], [0] * len(spans), [], []]
+
+
 # 8: archives
 
 PAGES = [(1, "http://www.example.com/a", "<p>one</p>"), (2, "https://example.com:8080/b?x=1", "<p>two</p>"), (3, None, None), (4, "not a url", ""),
