@@ -311,3 +311,11 @@ SELECT attempt, sqlstate, CAST(violations AS BIGINT) AS violations, fact_rows, C
   UNION ALL SELECT 'merged rows with unknown keys', '23503', wrong, fact_rows, 1 FROM a
   UNION ALL SELECT 'a group whose third job fails', '42703', 0, fact_rows, 1 FROM a
   UNION ALL SELECT 'a group of full loads', '00000', 0, fact_rows, (SELECT count(*) FROM cu) + 1 FROM a)"""
+ORACLE["schema_type_change"] = """SELECT CAST(o_orderkey AS BIGINT) AS id,
+  CASE o_orderstatus WHEN 'F' THEN CAST(o_custkey AS BIGINT) WHEN 'O' THEN CAST(o_custkey AS BIGINT) + 5000000000 ELSE 7 END AS n,
+  CASE o_orderstatus WHEN 'F' THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(24,4))
+       WHEN 'O' THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.25 AS DECIMAL(3,2)) AS DECIMAL(24,4)) ELSE CAST(o_custkey AS DECIMAL(24,4)) END AS price,
+  CASE o_orderstatus WHEN 'F' THEN o_orderpriority WHEN 'O' THEN CAST(o_custkey AS VARCHAR) ELSE 'true' END AS note,
+  CASE o_orderstatus WHEN 'O' THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS customer,
+  CASE o_orderstatus WHEN 'O' THEN 'C' || CAST(o_custkey AS VARCHAR) END AS customer__v_string
+FROM orders"""

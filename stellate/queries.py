@@ -358,6 +358,26 @@ def enforced_constraints(spark, sf_dir):
     return out
 
 
+def schema_type_change(spark, sf_dir):
+    """Three loads of orders whose columns change type: a count widens, a price
+    widens, a text takes numbers, a customer number becomes a text."""
+    o = si.tables(spark, sf_dir)("orders")
+    store = _store(spark, "types")
+    first = o.filter(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").cast("long").alias("id"), F.col("o_custkey").cast("int").alias("n"), F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        F.col("o_orderpriority").alias("note"), F.col("o_custkey").cast("long").alias("customer"))
+    second = o.filter(F.col("o_orderstatus") == "O").select(
+        F.col("o_orderkey").cast("long").alias("id"), (F.col("o_custkey").cast("long") + 5_000_000_000).alias("n"),
+        (F.col("o_totalprice").cast("decimal(12,2)") / 4).cast("decimal(14,4)").alias("price"),
+        F.col("o_custkey").cast("long").alias("note"), F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer"))
+    third = o.filter(F.col("o_orderstatus") == "P").select(
+        F.col("o_orderkey").cast("int").alias("id"), F.lit(7).cast("short").alias("n"), F.col("o_custkey").cast("long").alias("price"),
+        F.lit(True).alias("note"), F.col("o_custkey").cast("int").alias("customer"))
+    for load in (first, second, third):
+        store.append("staging.orders", load)
+    return store.read("staging.orders")
+
+
 def merge_null_keys(spark, sf_dir):
     t = si.tables(spark, sf_dir)
     store = _store(spark, "mergenull")
@@ -679,6 +699,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fk_violations": fk_violations_q,
     "required_columns": required_columns,
     "full_load_dim": full_load_dim,
+    "schema_type_change": schema_type_change,
     "merge_fact_empty_dates": merge_fact_empty_dates,
     "enforced_constraints": enforced_constraints,
     "full_load_fact": full_load_fact,

@@ -208,5 +208,6 @@ def test_partition_guards(spark, store):
     with pytest.raises(ValueError):
         merge_partitioned(store, SALES, src, month_of())        # plain table: would lose matches
     publish_partitioned(store, SALES.qualified, store.read(SALES.qualified), month_of())
-    touched = merge_partitioned(store, SALES, fact_source(store), month_of())[1]
+    assert merge_partitioned(store, SALES, fact_source(store), month_of()) == (0, [])   # nothing differs
+    touched = merge_partitioned(store, SALES, fact_source(store).withColumn("payment_mode", F.lit("WIRE")), month_of())[1]
     assert touched == sorted(store.partitions(SALES.qualified))
