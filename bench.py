@@ -31,6 +31,7 @@ HEADLINE = [
     "full_load_fact",
     "merge_dim",
     "merge_fact",
+    "merge_fact_partitioned",
     "games_incremental",
     "child_table",
 ]
