@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +34,13 @@ def bounded(df: DataFrame, tag: str, max_rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def slices(batches: Iterable, rows: int = 1000) -> Iterator:
+    """Arrow batches in pieces, so that no more texts than these are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32(doc_id as text) mod ``modulus`` is ``remainder``; a NULL
     id is never held out (and has no label)."""

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import materialise
+from stellate.llm.common import materialise, slices
 
 #: Bytes of words as they are, A-Z as a-z, all others as blanks.
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 32
@@ -81,7 +81,7 @@ def build_index(docs: DataFrame, block_words: int = 1_000_000) -> DataFrame:
         def flush():
             return pa.RecordBatch.from_pylist([_block_row(f"{part}-{k}", ids, hashes, lengths, words)], _INDEX_ARROW)
 
-        for batch in batches:
+        for batch in slices(batches):
             for i, h, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text"))):
                 own = words_of(text)
                 if words and len(words) + len(own) > block_words or len(ids) >= 100_000:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import held_out, labelled_sample
+from stellate.llm.common import held_out, labelled_sample, slices
 
 _UPPER = bytes(range(65, 91))
 _DIGITS = bytes(range(48, 58))
@@ -124,7 +124,7 @@ def non_negative_fit(pos: np.ndarray, unl: np.ndarray, penalty: float = 1e-3, st
 
 def _feature_rows(rows: DataFrame) -> np.ndarray:
     def make(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array([features(t) for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))], names=["x"])
 
     found = rows.select("text").mapInArrow(make, "x array<double>").collect()  # a bounded sample's short rows
@@ -154,7 +154,7 @@ def scored(docs: DataFrame, model: Scorer | None) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", `_score` double"
 
     def rate(batches):
-        for batch in batches:
+        for batch in slices(batches):
             x = [features(t) for t in batch.column("text").to_pylist()]
             s = _sigmoid(model.value.margin(np.array(x).reshape(len(x), -1))) if model.value and x else np.full(len(x), 0.5)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], names=[*batch.schema.names, "_score"])
