@@ -143,3 +143,20 @@ def one_letter_apart(a, b):
         return sum(x != y for x, y in zip(a, b)) == 1
     a, b = sorted((a, b), key=len)
     return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def clause_scores(words, insults, threats, classes, reach=3):
+    """(insult, threat) score of a clause, each word weighed by what stands around it."""
+    own = [("threat" if w in threats else "insult" if w in insults else classes.get(w)) for w in words]
+    insult = threat = 0.0
+    for i, (w, c) in enumerate(zip(words, own)):
+        factor = 0.25 if "negation" in own[max(0, i - reach):i] else 1.0
+        factor *= 0.5 if "report" in own[:i] else 1.0
+        if c == "insult":
+            run = 0  # insults directly before
+            while run < i and own[i - run - 1] == "insult":
+                run += 1
+            insult += insults[w] * factor * (1.25 if run else 1.0) * (1.5 if "target" in own else 1.0)
+        elif c == "threat":
+            threat += threats[w] * factor * (1.0 if "intent" in own[max(0, i - reach):i] else 0.3) * (1.0 if "target" in own else 0.2)
+    return insult, threat

@@ -340,14 +340,54 @@ def test_unlabelled_sample_is_bounded_in_rows(spark, frame, monkeypatch):
     assert max(map(len, collected)) <= 3000 and max(map(len, collected)) > 1000
 
 
+def clause_score(grammar, text):
+    return sum(f * w for _, _, f, w in grammar.clause(text.split()))
+
+
 def test_grammar_scores_clauses():
     g = toxicity.Grammar({"idiot": 2.0}, {"schwach": 1.0})
-    assert g.clause("you are an idiot".split())[0] == 3.0
-    assert g.clause("an idiot".split())[0] == 2.0
-    assert g.clause("not an idiot".split())[0] == 0.5
-    assert g.clause("she said idiot".split())[0] == 2.0 * 0.5 * 1.5
-    assert g.clause("we will kill you".split())[0] < g.clause("you we will kill".split())[0]
-    assert g.clause("schwachkopf".split())[0] == 1.0 and g.clause("a plain clause".split()) == (0.0, 0.0)
+    assert clause_score(g, "you are an idiot") == clause_score(g, "idiot , you") == 3.0
+    assert clause_score(g, "an idiot") == 2.0 and clause_score(g, "not an idiot") == 0.5
+    assert clause_score(g, "she said idiot") == 2.0 * 0.5 * 1.5
+    assert clause_score(g, "we will kill time") < clause_score(g, "we will kill you") == 2.0
+    assert clause_score(g, "they kill you") < clause_score(g, "they will kill you")
+    assert clause_score(g, "schwachkopf") == 1.0 and g.clause("a plain clause".split()) == []
+    assert [(s, e) for s, e, _ in g.matches("All well. An idiot; fine")] == [(9, 18)]
+
+
+def test_grammar_follows_the_model():
+    rng, g = random.Random(31), toxicity.Grammar({"idiot": 2.0, "fool": 3.5}, {})
+    pool = ["idiot", "fool", "kill", "burn", "you", "he", "not", "never", "said", "will", "shall", "a", "b", "c", "d"]
+    for _ in range(3000):
+        own = rng.choices(pool, k=rng.randrange(9))
+        found = g.clause(own)
+        got = [sum(f * w for _, x, f, w in found if x == kind) for kind in ("insult", "threat")]
+        assert np.allclose(got, models.clause_scores(own, g.exact, g.threats, toxicity._CLASSES)), own
+
+
+def test_toxicity_reads_clauses(spark, frame):
+    rng, rows, labels = random.Random(5), [], []
+    for i in range(600):
+        kind = i % 6
+        bad = ["you are a grimble", "we will zonk you", "grimble , you", None, None, None][kind]
+        clean = ["we zonk the wood"] if kind == 3 else []
+        rows.append((i, ". ".join([" ".join(words(rng, 9)), *([bad] if bad else clean), " ".join(words(rng, 9))]), None, None))
+        labels.append((i, 1, int(bad is not None)))
+    said = ["You are a grimble.", "You are not a grimble.", "She said you are a grimble.", "She said nobody is a grimble.",
+            "I will zonk you.", "We zonk wood.", "I will never zonk you.", "The weather is fine."]
+    tests = [(10_000 + i, t, None, None) for i, t in enumerate(said)]
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(frame(rows + tests), labelled(spark, labels)).collect()}
+    plain, negated, reported, both, threat, harmless, never, fine = (got[10_000 + i] for i in range(len(said)))
+    assert plain >= 0.5 and threat >= 0.5 and max(fine, harmless) < 0.5
+    assert plain > reported > both and plain > negated > both and threat > never and threat > harmless
+
+
+def test_coefficients_are_never_negative():
+    rng = np.random.default_rng(4)
+    x = np.abs(rng.normal(size=(400, 4)))
+    y = (x @ [2.0, -3.0, 1.0, 0.0] + rng.normal(size=400) > 0).astype(float)
+    w = toxicity.fit_logistic(x, y, np.array([0.5, 0.5, 0.5, 0.5, -1.0]))
+    assert (w[:-1] >= 0).all() and w[1] == 0 and w[0] > w[2] > 0
 
 
 def test_toxicity_learns_words_and_stems(spark, frame):
