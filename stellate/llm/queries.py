@@ -14,7 +14,7 @@ def op9_quality_rules(spark, sf_dir):
 
 
 def op10_decontamination(spark, sf_dir):
-    out = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=5)
     return out.drop("text_hash", "items")
 
 

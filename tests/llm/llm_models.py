@@ -70,6 +70,16 @@ def contamination(text, items, size=13, share=20):
             bool(hit) and share * len(hit) >= len(words))
 
 
+def near_items(text, items, slop):
+    """Items with all their words within their number of distinct words plus ``slop`` words of the text."""
+    words, found = benchmark_words(text), set()
+    for item, body in items:
+        need = set(benchmark_words(body))
+        if item is not None and need and any(need <= set(words[i:i + len(need) + slop]) for i in range(len(words))):
+            found.add(item)
+    return len(found)
+
+
 def targets(sizes, weights=(5, 2, 1), share=1.5, cap=2):
     """{source: target} by refilling until none is above."""
     names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])

@@ -197,13 +197,27 @@ def test_contamination_follows_the_model(spark, frame, block_words):
 def test_matches_do_not_depend_on_item_batches(spark, frame):
     rows, items = planted(random.Random(8))
     index = decontamination.build_index(frame([(i, t, None, None) for i, t in rows]), 500)
-    one, many = (decontamination.phrase_matches(index, bench(spark, items), batch_words=n) for n in (10**6, 20))
+    one, many = (decontamination.phrase_matches(index, bench(spark, items), batch_windows=n) for n in (10**6, 20))
     n = lambda df: {(r["block"], r["doc"]): (r["n"], sorted(r["items"])) for r in df.select(
         "block", "doc", decontamination._span_words(F.col("spans")).alias("n"), "items").collect()}
     assert n(one) == n(many) and n(one)
+    near = [sorted(map(str, decontamination.proximity_matches(index, bench(spark, items), 5, k).collect())) for k in (10**6, 2)]
+    assert near[0] == near[1] and near[0]
+
+
+def test_contamination_counts_near_items(spark, frame):
+    rng = random.Random(10)
+    rows = [(None, None), (1, ""), *((i, " ".join(words(rng, rng.randrange(80), 9))) for i in range(2, 40))]
+    items = [(1, "w1 w2 w3"), (1, "w4 w5"), (2, "w4 W4 w5"), (3, "w99 w1"), (None, "w7"), (4, "w0 w1 w2 w3 w4 w5"), (5, None), (6, " . ")]
+    out = decontamination.contamination(frame([(i, t, None, None) for i, t in rows]), bench(spark, items), block_words=300, slop=2)
+    got = [(r["doc_id"], r["n_words"], r["n_near"]) for r in out.collect()]
+    assert sorted(map(str, got)) == sorted(str((i, len((t or "").split()), models.near_items(t, items, 2))) for i, t in rows)
+    assert len({n for _, _, n in got}) > 2
 
 
 def test_contamination_of_empty_tables(spark, frame):
+    none = decontamination.contamination(frame([(1, "a b", None, None)]), bench(spark, []), slop=5).collect()
+    assert [r["n_near"] for r in none] == [0]
     assert decontamination.contamination(frame([]), bench(spark, [(1, "a b")])).count() == 0
     out = decontamination.contamination(frame([(1, "a b", None, None)]), bench(spark, [])).collect()
     assert [(r["n_hit"], r["contaminated"], r["items_sha256"]) for r in out] == [(0, False, hashlib.sha256(b"").hexdigest())]
