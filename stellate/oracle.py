@@ -277,6 +277,17 @@ FROM events GROUP BY user_id""",
     "online_status_stream": f"""SELECT 'user_' || CAST(user_id AS VARCHAR) AS username, event_type AS online_status,
   {_epoch('ts')} AS last_login_date FROM events""",
 
+    "stream_replays": """SELECT event_id, user_id, event_type FROM events""",
+
+    "atomic_publish": """SELECT 'dwh.orders' AS table_name, COUNT(*) AS row_count, CAST(SUM(o_custkey) AS BIGINT) AS key_sum, CAST(1 AS BIGINT) AS refused
+FROM orders UNION ALL SELECT 'dwh.customers', COUNT(*), CAST(SUM(c_custkey) AS BIGINT), 1 FROM customer""",
+
+    "namespaces": """SELECT 'buyers' AS namespace, c_custkey AS id, c_name AS name FROM customer
+UNION ALL SELECT 'sellers', s_suppkey, s_name FROM supplier""",
+
+    "source_location": """SELECT 'region' AS source, CAST(r_regionkey AS VARCHAR) AS key, r_name AS name FROM region
+UNION ALL SELECT 'nation', CAST(n_nationkey AS VARCHAR), n_name FROM nation""",
+
     "flatten_json": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props__k, user_id FROM events""",
 
     "child_table": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position,

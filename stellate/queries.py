@@ -32,10 +32,10 @@ from stellate.plans.star import build_star
 from stellate.plans.warehouse import COUNTRY, CUSTOMER, PRODUCT, SALES, fact_with_keys
 from stellate.session import new_scratch_dir
 from stellate.sources import json_ingest as J
-from stellate.sources.csv import read_csv, write_csv
+from stellate.sources.csv import read_csv, source_path, write_csv
 from stellate.sources.staging import load_report as staged_load_report
-from stellate.sources.staging import stage
-from stellate.sources.store import TableStore
+from stellate.sources.staging import stage, stage_csv_dir
+from stellate.sources.store import StaleBase, TableStore
 from stellate.streaming import ingest_new_files
 
 LINEAGE = ["_load_id", "_row_id"]
@@ -617,6 +617,71 @@ def online_status_stream(spark, sf_dir):
     return store.read(J.STATUS_TABLE).select("username", "online_status", "last_login_date")
 
 
+def stream_replays(spark, sf_dir):
+    """Batches of a stream, some delivered twice, also after the table was rewritten as one version."""
+    ev = si.tables(spark, sf_dir)("events").select("event_id", "user_id", "event_type")
+    store = _store(spark, "replays")
+    kinds = [r[0] for r in ev.select("event_type").distinct().sort("event_type").collect()]   # a handful of types
+    table = "landing.events"
+    for n, kind in enumerate(kinds):
+        for _ in range(2):
+            store.append_batch(table, ev.filter(F.col("event_type") == kind), "events", n)
+        if n == 0:
+            store.replace(table, store.read(table), base=store.version())
+            store.append_batch(table, ev, "events", n)
+    store.append_batch(table, ev.filter(F.col("event_type").isNull()), "events", len(kinds))
+    return store.read(table)
+
+
+def atomic_publish(spark, sf_dir):
+    """Two tables in one publish: a commit of both, then one that is refused
+    because a table it read was renewed, which leaves both as they were."""
+    t = si.tables(spark, sf_dir)
+    store, base = _store(spark, "publish"), 0
+    orders = t("orders").select("o_orderkey", "o_custkey")
+    customers = t("customer").select("c_custkey", "c_nationkey")
+
+    def both(o, c):
+        return {"dwh.orders": store.write_version("dwh.orders", o), "dwh.customers": store.write_version("dwh.customers", c)}
+
+    base = store.commit(both(orders.filter("o_custkey IS NULL"), customers))
+    store.commit(both(orders, customers), base=base)
+    try:
+        store.commit(both(orders.filter(F.lit(False)), customers.filter(F.lit(False))), base=base)
+        refused = 0
+    except StaleBase:
+        refused = 1
+    return (store.read("dwh.orders").agg(F.count(F.lit(1)).alias("row_count"), F.sum("o_custkey").cast("bigint").alias("key_sum"))
+            .withColumn("table_name", F.lit("dwh.orders"))
+            .unionByName(store.read("dwh.customers").agg(F.count(F.lit(1)).alias("row_count"), F.sum("c_custkey").cast("bigint").alias("key_sum"))
+                         .withColumn("table_name", F.lit("dwh.customers")))
+            .withColumn("refused", F.lit(refused).cast("bigint")))
+
+
+def namespaces(spark, sf_dir):
+    """One table name in two namespaces: each holds its own rows; making a namespace again changes nothing."""
+    t, store = si.tables(spark, sf_dir), _store(spark, "namespaces")
+    for ns, rows in (("buyers", t("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))),
+                     ("sellers", t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")))):
+        store.ensure_namespace(ns)
+        store.replace(f"{ns}.party", rows)
+        store.ensure_namespace(ns)
+    return (store.read("buyers.party").withColumn("namespace", F.lit("buyers"))
+            .unionByName(store.read("sellers.party").withColumn("namespace", F.lit("sellers"))))
+
+
+def source_location(spark, sf_dir):
+    """CSV files found by table name below the data folder and staged together."""
+    t, folder = si.tables(spark, sf_dir), new_scratch_dir(spark, "data-dir")
+    tables = {"region": t("region").select("r_regionkey", "r_name"), "nation": t("nation").select("n_nationkey", "n_name")}
+    for name, rows in tables.items():
+        write_csv(rows, source_path(folder + "/", name))
+    store = _store(spark, "source-location")
+    stage_csv_dir(store, folder, tables)
+    return (store.read("staging.region").select(F.lit("region").alias("source"), F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"))
+            .unionByName(store.read("staging.nation").select(F.lit("nation").alias("source"), F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))))
+
+
 def flatten_json(spark, sf_dir):
     ev = si.tables(spark, sf_dir)("events")
     lines = ev.select(F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"),
@@ -723,6 +788,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_child_tables": json_child_tables,
     "online_status": online_status,
     "online_status_stream": online_status_stream,
+    "stream_replays": stream_replays,
+    "atomic_publish": atomic_publish,
+    "namespaces": namespaces,
+    "source_location": source_location,
     "flatten_json": flatten_json,
     "child_table": child_table,
     "missing_lists": missing_lists,

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -110,19 +111,35 @@ def load_games_incrementally(store: TableStore, listing: DataFrame, bodies: Data
     its body is a 404); archives outside the range are not remembered, so a
     later, wider run takes them. Games and ledger rows are published in one
     commit: a failed run leaves both unchanged and its archives are retried.
+    The ledger is stored by month, and a run reads its own months' part only.
     """
     load_id = new_load_id()
-    base = store.version()
     candidates = archive_candidates(listing, users, start_month, end_month)
+    base = store.version()
     if store.exists(ledger_table):
-        candidates = candidates.join(store.read(ledger_table).select("url"), "url", "left_anti")
-    fresh_path = store.write_version(ledger_table, candidates.select("url", F.lit(load_id).alias("_load_id")))
+        if "month" not in store.schema(ledger_table).names:   # written before ledgers were divided
+            whole = store.read(ledger_table).withColumn("month", month_of_url("url"))
+            base = store.replace(ledger_table, whole, base=base, divided_by="month")
+        known = ledger_part(store.read(ledger_table), candidates, start_month, end_month)
+        candidates = candidates.join(known.select("url"), "url", "left_anti")
+    fresh_path = store.write_version(ledger_table, candidates.select(
+        "url", F.lit(load_id).alias("_load_id"), month_of_url("url").alias("month")), divided_by="month")
     fresh = store.read_version(fresh_path)
     changes, rows = write_nested(store, games_table, checked_games(in_months(bodies, start_month, end_month), fresh), "append", load_id)
-    store.commit({**changes, ledger_table: Change("append", fresh_path.path, fresh_path.schema)}, base=base)
+    store.commit({**changes, ledger_table: replace(fresh_path, kind="append")}, base=base)
     return LoadInfo(games_table, load_id, rows, "append")
 
 
+def ledger_part(ledger: DataFrame, candidates: DataFrame, start_month: str | None, end_month: str | None) -> DataFrame:
+    """The ledger's rows from the first to the last month of the candidates
+    (one aggregate where the run's own bounds do not say it); a filter on the
+    ledger's folders. Urls without a month are held under NULL."""
+    low, high = start_month, end_month
+    if not (low and high):
+        low, high = candidates.agg(F.min(month_of_url("url")), F.max(month_of_url("url"))).first()
+    return ledger.filter(F.col("month").isNull() | F.col("month").between(low or "", high or ""))
+
+
 def in_months(bodies: DataFrame, start_month: str | None, end_month: str | None) -> DataFrame:
     """Only the ``month=YYYY-MM`` folders of the range, when bodies are landed
     in such folders (the bound prunes folders before anything is parsed)."""

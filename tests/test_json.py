@@ -68,6 +68,37 @@ def test_incremental_games_and_ledger(spark, store):
     assert len(ledger) == len(set(ledger)) == 4
 
 
+def _prunes_ledger(known):
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    return "PartitionFilters" in plan and "month" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_ledger_is_read_by_month(spark, store):
+    listing, bodies = _sources(spark)
+    J.load_games_incrementally(store, listing, bodies, ["alice", "bob"])
+    ledger = store.read(J.LEDGER_TABLE)
+    candidates = J.archive_candidates(listing, ["alice"], None, None)
+    bounded = J.ledger_part(ledger, candidates, "2022/11", "2022/11")
+    assert _prunes_ledger(bounded) and {r.month for r in bounded.collect()} == {"2022/11"}
+    assert len(bounded.inputFiles()) and len(ledger.inputFiles()) >= 3
+    open_end = J.ledger_part(ledger, J.archive_candidates(listing, ["bob"], "2022/11", None), "2022/11", None)
+    assert _prunes_ledger(open_end) and {r.month for r in open_end.collect()} == {"2022/11"}
+    assert J.ledger_part(ledger, candidates.limit(0), None, None).count() == 0
+
+
+def test_ledger_of_odd_urls_and_of_older_stores(spark, store):
+    odd = ["", "x", f"{U}a/games/0022/01", f"{U}a/games/a b%2F", "__HIVE_DEFAULT_PARTITION__", f"{U}a/games/2022/11"]
+    listing = spark.createDataFrame([("a", odd)], LISTING)
+    bodies = spark.createDataFrame([(u, 200, [(1, 1665000000, "a", "x")]) for u in odd], BODIES)
+    assert J.load_games_incrementally(store, listing, bodies, ["a"]).rows == len(odd)
+    assert J.load_games_incrementally(store, listing, bodies, ["a"]).rows == 0
+    assert sorted(r.url for r in store.read(J.LEDGER_TABLE).collect()) == sorted(odd)
+    old = type(store).scratch(spark, "old-ledger")
+    old.replace(J.LEDGER_TABLE, spark.createDataFrame([(u, "1") for u in odd[:3]], "url string, _load_id string"))
+    assert J.load_games_incrementally(old, listing, bodies, ["a"]).rows == len(odd) - 3
+    assert "month" in old.schema(J.LEDGER_TABLE).names and old.read(J.LEDGER_TABLE).count() == len(odd)
+
+
 def test_not_found_archive_recorded_other_errors_fail(spark, store):
     listing, bodies = _sources(spark, games_status=404)
     J.load_games_incrementally(store, listing, bodies, ["alice"], "2022/12", "2022/12")
