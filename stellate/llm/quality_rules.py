@@ -1,10 +1,14 @@
 """Operator 9: quality rules as a short-circuit cascade (native expressions only).
 
 Every rule is a Boolean SQL expression over a few statistics of the text.
-A bounded sample gives each rule's cost (timed jobs) and its rejection rate;
-rules are then tried in the order of rejection per cost inside one CASE
+A bounded sample of texts gives each rule's cost and its rejection rate; a
+rule is timed from the text on, with the statistics it needs and no others.
+Rules are then tried in the order of rejection per cost inside one CASE
 expression, which Spark evaluates lazily: a row rejected by an early rule
-never pays for a later one. The order changes cost, never a verdict.
+never pays for a later one. The order changes cost, never a verdict. The
+statistics that are part of the result are made for every row; those of the
+method alone (exclamations, capitals, digits) stand in the rules themselves,
+so rows rejected before do not pay for them.
 
 Defined cases: a NULL text counts as an empty one; empty texts have no words
 and fail the base rule; NULL and repeated ids pass through; other columns of
@@ -74,22 +78,24 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         F.when(always, F.coalesce(_covered(F.col("_c")), F.lit(0)).cast("long")).alias("n_repeat_words"))
 
 
-def rank_rules(stats: DataFrame, rules: dict[str, str] = RULES, sample_rows: int = 2000) -> list[tuple[str, float, float]]:
+def rank_rules(texts: DataFrame, rules: dict[str, str] = RULES, sample_rows: int = 2000) -> list[tuple[str, float, float]]:
     """(rule, seconds, rejected share) by falling rejection per second, from a
-    sample of about ``sample_rows`` rows (documented bound, seeded)."""
-    n = max(1, stats.count())
-    sample = materialise(stats.sample(fraction=min(1.0, sample_rows / n), seed=7), "rules")
-    share = sample.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.expr(c)).alias(r) for r, c in rules.items()]).first()
+    sample of about ``sample_rows`` texts (documented bound, seeded). Shares
+    are those among the rows that pass the base rule, which comes first."""
+    part = min(1.0, sample_rows / max(1, texts.count()))
+    sample = text_statistics(materialise(texts.select("doc_id", "text").sample(fraction=part, seed=11), "rules"))
+    share = sample.where(f"NOT ({BASE})").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.expr(c)).alias(r) for r, c in rules.items()]).first()
 
     def seconds(condition: str) -> float:
         took = []
         for _ in range(2):  # the second run finds its code compiled
             t = time.perf_counter()
-            sample.agg(F.count_if(F.expr(condition))).first()
+            sample.agg(F.count_if(F.expr(condition))).first()  # makes only the statistics of the condition
             took.append(time.perf_counter() - t)
         return min(took)
 
-    floor = seconds("n_words < 0")
+    floor = seconds("doc_id IS NULL")
     cost = {r: max(seconds(c) - floor, 1e-4) for r, c in rules.items()}
     found = [(r, cost[r], (share[r] or 0) / max(1, share["n"])) for r in rules]
     return sorted(found, key=lambda x: (-x[2] / x[1], x[1], x[0]))
@@ -108,8 +114,7 @@ def quality_cascade(docs: DataFrame, rules: dict[str, str] = RULES, sample_rows:
     """The statistics, ``base_failed``, ``rejected_by`` (depends on the rule
     order, so on timing) and ``kept`` (does not)."""
     small = docs.select("doc_id", "text")
-    order = [r for r, _, _ in rank_rules(text_statistics(
-        small.sample(fraction=min(1.0, 2 * sample_rows / max(1, small.count())), seed=11)), rules, sample_rows)]
+    order = [r for r, _, _ in rank_rules(small, rules, sample_rows)]
     judged = text_statistics(small).select("*", cascade(order, rules).alias("rejected_by"))
     return judged.select("*", F.expr(BASE).alias("base_failed"), F.col("rejected_by").isNull().alias("kept")).drop("text")
 

@@ -66,6 +66,26 @@ def test_quality_order_does_not_change_verdicts(frame):
     assert quality_rules.quality_cascade(frame([])).count() == 0
 
 
+def test_quality_rejected_rows_pay_for_no_later_rule(frame):
+    rules = {"cheap": "n_words < 100", "costly": "raise_error(concat('paid by ', doc_id)) IS NOT NULL"}
+    rows = [(n, " ".join(f"k{i}" for i in range(n)), None, None) for n in range(40, 100)]
+    rejected = quality_rules.text_statistics(frame(rows)).select(quality_rules.cascade(["cheap", "costly"], rules).alias("by"))
+    assert sorted({r["by"] for r in rejected.collect()}) == ["base", "cheap"]
+    survivor = frame([(7, " ".join(f"k{i}" for i in range(300)), None, None)])
+    with pytest.raises(Exception, match="paid by 7"):
+        quality_rules.text_statistics(survivor).select(quality_rules.cascade(["cheap", "costly"], rules)).collect()
+
+
+def test_quality_costs_are_those_of_the_rules_own_statistics(frame):
+    stats = quality_rules.text_statistics(frame([(1, "a b c", None, None)]))
+    plan = lambda rule: stats.agg(F.count_if(F.expr(rule)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" not in plan(quality_rules.RULES["symbols"]) and "xxhash64" in plan(quality_rules.BASE)
+    assert "split" not in plan(quality_rules.RULES["digits"].replace("word_chars", "length(text)"))
+    docs = frame([(i, "word # " * 200 if i % 2 else " ".join(f"w{i}x{k}" for k in range(80)), None, None) for i in range(60)])
+    ranked = quality_rules.rank_rules(docs, {"never": "n_words < 0", "often": "10 * n_symbols > n_words", **quality_rules.RULES})
+    assert len(ranked) == len(quality_rules.RULES) + 2 and all(cost > 0 for _, cost, _ in ranked)
+
+
 # 7: n-gram join
 
 @pytest.mark.parametrize("n,order", [(3000, "random"), (3000, "sorted"), (40, "star")])
