@@ -20,3 +20,79 @@ def test_row_ids_are_uuids_that_pack_well(spark, store):
     assert all(n.endswith(".zstd.parquet") for n in _files(store, ch.path))
     written = sum(st.getLen() for st in store._fs.listStatus(store._Path(ch.path)))
     assert written < 10 * 5000  # 36 characters each, of which random ones took 40 bytes
+
+
+def _changes(spark, target, source, limit):
+    from stellate.operators.merge import apply_changes, changed_rows
+    from stellate.session import new_scratch_dir
+    found = changed_rows(target, source, ["bk"], "k", limit)
+    path = new_scratch_dir(spark, "changes")
+    found.write.parquet(path)
+    merged, high = apply_changes(target, spark.read.schema(found.schema).parquet(path), ["bk"], "k", 40_000, limit)
+    return found, sorted(map(tuple, merged.collect()), key=str), high
+
+
+def test_a_shuffled_merge_gives_what_a_broadcast_one_gives(spark):
+    schema = "bk string, v string, n long, d decimal(9,2), x double, k long"
+    target = spark.range(1, 40_001).selectExpr(
+        "IF(id % 9 = 0, NULL, concat('b', id)) AS bk", "IF(id % 5 = 0, NULL, concat(id % 3, '')) AS v", "IF(id % 7 = 0, NULL, id % 4) AS n",
+        "CAST(id % 6 AS decimal(9,2)) AS d", "IF(id % 8 = 0, double('NaN'), id * 0.5) AS x", "id AS k")
+    assert [f.name for f in target.schema] == [c.split()[0] for c in schema.split(", ")]
+    source = target.where("k % 3 > 0").selectExpr(
+        "IF(k % 11 = 0, concat('new', k), bk) AS bk", "IF(k % 13 = 0, '', v) AS v", "IF(k % 17 = 0, NULL, n) AS n", "d", "IF(k % 19 = 0, NULL, x) AS x")
+    plain, small, high = _changes(spark, target, source, None)
+    moved, large, same_high = _changes(spark, target, source, 1)
+    key = lambda r: str((r[:5], None if r[5] > 40_000 else r[5]))
+    assert "_key" in moved.columns and "_key" not in plain.columns and high == same_high
+    assert sorted(map(key, large)) == sorted(map(key, small))
+    assert sorted(r[5] for r in large) == list(range(1, high + 1))
+    assert moved.count() == plain.count() < source.count()
+
+
+def test_a_shuffled_merge_sends_a_digest_of_the_target(spark):
+    from stellate.operators.merge import changed_rows
+    wide = [f"c{i}" for i in range(6)]
+    target = spark.range(0, 2000).select(F.col("id").cast("string").alias("bk"), *[F.concat(F.lit(f"{c}-"), F.col("id")).alias(c) for c in wide], F.col("id").alias("k"))
+    plan = changed_rows(target, target.drop("k"), ["bk"], "k", 1)._jdf.queryExecution().sparkPlan().toString()
+    sides = re.findall(r"Project \[[^\n]*_t_digest[^\n]*", plan)
+    assert sides and all(not re.search(r" AS _t_c\d", p) for p in sides)
+
+
+def test_texts_that_join_alike_have_other_digests(spark):
+    from stellate.operators.merge import _digest
+    pairs = [("a", "bc"), ("ab", "c"), (None, "abc"), ("abc", None), ("", "abc"), ("1:a", ""), ("", "1:a"), (None, None), ("-", None), (None, "-"), ("", "")]
+    rows = spark.createDataFrame(pairs, "x string, y string").select(_digest([F.col("x"), F.col("y")]).alias("d"))
+    assert rows.distinct().count() == len(pairs)
+
+
+def test_a_large_table_is_divided_without_a_shuffle(spark, store, monkeypatch):
+    from stellate.plans.partitioned import publish_partitioned
+    from stellate.sources import store as module
+    rows = spark.range(0, 6000, numPartitions=3).select(F.col("id").alias("k"), F.concat(F.lit("m"), F.col("id") % 7).alias("month"))
+    store.replace("dwh.t", rows)
+    publish_partitioned(store, "dwh.t", None, F.col("month"))
+    few = {m: _files(store, p) for m, p in store.partitions("dwh.t").items()}
+    monkeypatch.setattr(module, "FILE_ROWS", 100)
+    store.replace("dwh.u", rows)
+    tasks = store.read("dwh.u").rdd.getNumPartitions()
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    publish_partitioned(store, "dwh.u", None, F.col("month"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    many = {m: _files(store, p) for m, p in store.partitions("dwh.u").items()}
+    assert few.keys() == many.keys() and all(len(f) == 1 for f in few.values()) and all(len(f) == tasks for f in many.values()) and tasks > 1
+    assert sorted(map(tuple, store.read("dwh.u").collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_repeated_keys_are_found_by_their_hashes(spark):
+    from stellate.operators.checks import has_key_repeats
+    make = lambda keys: spark.createDataFrame([(k,) for k in keys], "bk string")
+    assert has_key_repeats(make(["a", "b", "a"]), ["bk"]) and not has_key_repeats(make(["a", "b", None, None]), ["bk"])
+
+
+def test_compressed_csv_reads_back(spark):
+    from stellate.session import new_scratch_dir
+    from stellate.sources.csv import read_csv, write_csv
+    rows = [("1", 'a "q", b'), ("2", "")]
+    path = new_scratch_dir(spark, "gz") + "/t.csv"
+    write_csv(spark.createDataFrame(rows, "id string, v string"), path, compression="gzip")
+    assert sorted(map(tuple, read_csv(spark, path, multi_line=False).collect())) == rows
