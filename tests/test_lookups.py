@@ -71,3 +71,30 @@ def test_batched_broadcast_decisions(spark):
     hinted = ["broadcast" in d._jdf.queryExecution().logical().toString().lower() for d in out]
     assert hinted == [True, False]
     assert bounded_broadcast_many([]) == []
+
+
+def test_the_tables_of_a_query_share_the_limit(spark):
+    from stellate.operators.checks import fk_violation_counts
+    from stellate.operators.lookups import bounded_many
+    dims = [spark.range(0, n).select(F.col("id").alias("k"), F.lit("x" * 20).alias("s")) for n in (300, 150, 200)]
+    sizes = [measured_bytes(d)[1] for d in dims]
+    assert bounded_many(dims, sizes[0]) == [False, True, False]  # each is under it, no two together are
+    assert bounded_many(dims, sizes[1] + sizes[2]) == [False, True, True]
+    assert bounded_many(dims, sum(sizes)) == [True, True, True]
+    fact = spark.range(0, 400).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("a"), F.col("id").alias("b"))
+    refs = [("a", dims[0], "k"), ("b", dims[1], "k")]
+    found = [fk_violation_counts(fact, refs, limit, unique_keys=unique) for limit in (None, 1, 4000) for unique in (True, False)]
+    assert all(f == {"a": 90, "b": 250} for f in found)
+
+
+def test_the_default_limit_is_a_share_of_the_drivers_heap(spark):
+    from stellate.operators import lookups
+    heap = spark._jvm.Runtime.getRuntime().maxMemory()
+    limit = lookups._broadcast_limit(spark.range(1), None)
+    assert limit == min(lookups.DEFAULT_BROADCAST_BYTES, heap // 24)
+    spark.conf.set("stellate.broadcast.maxBytes", "123")
+    try:
+        assert lookups._broadcast_limit(spark.range(1), None) == 123
+    finally:
+        spark.conf.unset("stellate.broadcast.maxBytes")
+    assert lookups._broadcast_limit(spark.range(1), 7) == 7
