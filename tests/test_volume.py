@@ -96,3 +96,80 @@ def test_compressed_csv_reads_back(spark):
     path = new_scratch_dir(spark, "gz") + "/t.csv"
     write_csv(spark.createDataFrame(rows, "id string, v string"), path, compression="gzip")
     assert sorted(map(tuple, read_csv(spark, path, multi_line=False).collect())) == rows
+
+
+def _sales_store(spark, store, n=300):
+    """A built star over ``n`` sales, and staged sales of which some are new and some really differ."""
+    from stellate.plans.star import build_star
+    text = lambda e: F.expr(e).cast("string")
+    stage(store, "country", spark.createDataFrame([("1", "A", "EUROPE"), ("2", "B", "ASIA")], "country_code string, country_name string, region string"))
+    stage(store, "customer", spark.range(0, 20).select(text("id").alias("customer_id"), text("id").alias("customer_name"), text("id % 3").alias("country_code"), text("'t'").alias("customer_type")))
+    stage(store, "product", spark.range(0, 30).select(text("id").alias("product_id"), text("id").alias("product_name"), text("'c'").alias("category"), text("'1.00'").alias("standard_price")))
+    sales = spark.range(0, 2 * n, numPartitions=3).select(
+        text("IF(id % 50 = 0, NULL, concat('t', id))").alias("transaction_id"), text("concat('2020-0', 1 + id % 5, '-01')").alias("transaction_date"),
+        text("id % 25").alias("customer_id"), text("id % 31").alias("product_id"), text("1").alias("quantity"), text("'2.00'").alias("unit_price"),
+        text("'2.00'").alias("total_amount"), text("IF(id % 2 = 0, 'A', 'B')").alias("payment_mode"), F.col("id"))
+    stage(store, "sales_transactions", sales.where(F.col("id") < n).drop("id"))
+    build_star(store)
+    stage(store, "sales_transactions", sales.where(F.col("id") >= n // 2).drop("id").withColumn("payment_mode", F.lower("payment_mode")))
+
+
+def _sales_rows(store):
+    from stellate.plans.warehouse import SALES
+    rows = store.read(SALES.qualified).drop("_load_id", "_row_id").collect()
+    assert sorted(r["sales_trans_key"] for r in rows) == list(range(1, len(rows) + 1))
+    return sorted(str({**r.asDict(), "sales_trans_key": None}) for r in rows)
+
+
+def test_a_merge_looks_keys_up_once_when_that_shuffles(spark, monkeypatch):
+    from stellate.plans import loads, partitioned
+    from stellate.plans.warehouse import SALES
+    from stellate.sources.store import TableStore
+    got, written, write = {}, [], TableStore.write_version
+    monkeypatch.setattr(TableStore, "write_version", lambda self, q, *a, **k: written.append(q) or write(self, q, *a, **k))
+    checked, read = [], []
+    for module in (loads, partitioned):
+        monkeypatch.setattr(module, "check_cardinality", lambda t, s, bk, f=module.check_cardinality: checked.append(s) or f(t, s, bk))
+        monkeypatch.setattr(module, "changed_rows", lambda t, s, *a, f=module.changed_rows: read.append(s) or f(t, s, *a))
+    auto, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit, by_month in ((None, False), (None, True), (1, False), (1, True)):
+        store = TableStore.scratch(spark, "once")
+        _sales_store(spark, store)
+        written.clear()
+        spark.conf.set(auto, before if limit is None else "-1")
+        try:
+            if by_month:
+                partitioned.publish_partitioned(store, SALES.qualified, None, partitioned.month_of())
+                partitioned.merge_partitioned(store, SALES, loads.fact_source(store, None, limit), partitioned.month_of(), limit)
+            else:
+                loads.merge_load(store, SALES, None, limit)
+            for source in (checked.pop(), read.pop()):  # what the merge reads several times joins nothing by shuffle
+                assert "SortMergeJoin" not in source._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set(auto, before)
+        got[limit, by_month] = _sales_rows(store)
+        assert written.count("dwh._sales_transactions_fact_source") == (1 if limit else 0)
+    assert len(got[None, False]) > 600 - 150 and all(rows == got[None, False] for rows in got.values())
+
+
+def test_a_source_with_an_untyped_column_is_not_written(spark, store):
+    rows = spark.range(0, 9).groupBy((F.col("id") % 3).alias("k")).count().withColumn("nothing", F.lit(None))
+    assert store.settled("dwh._s", rows).count() == 3
+    settled = store.settled("dwh._s", rows.drop("nothing"))
+    assert "parquet" in settled._jdf.queryExecution().logical().toString().lower()
+    assert sorted(map(tuple, settled.collect())) == [(0, 3), (1, 3), (2, 3)]
+
+
+def test_writes_let_go_of_what_finished_queries_left(spark, store, monkeypatch):
+    from stellate import session
+    from stellate.sources import store as module
+    calls = []
+    monkeypatch.setattr(module, "collect_garbage", calls.append)
+    rows = spark.range(3).select(F.col("id").cast("string").alias("x"))
+    store.write_version("dwh.t", rows)
+    store.write_partitioned("dwh.p", rows, F.col("x"))
+    assert calls == [spark, spark]
+    jvm = spark._jvm
+    kept = jvm.java.lang.ref.WeakReference(jvm.java.lang.Object())  # stands for a broadcast table that no plan uses any more
+    assert any(session.collect_garbage(spark, every=0) and not session.time.sleep(0.2) and kept.refersTo(None) for _ in range(20))  # Python lets go of it soon
+    assert session.collect_garbage(spark) is False  # not again within some seconds
